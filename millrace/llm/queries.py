@@ -6,11 +6,15 @@ import public_tokenizers
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .mixing import mix
+from .pieces import encode_pieces
 from .sharding import shard_documents
 from .simhash import simhash_groups
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -21,6 +25,18 @@ def op2_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), BPE)
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark, sf_dir):
+    return encode_pieces(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents")).drop("_k", "_sig")
 
@@ -32,6 +48,9 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
+    "op4_mixing": op4_mixing,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_sharding": op10_sharding,
 }
