@@ -184,10 +184,11 @@ class Pieces:
         return whole.decode("utf-8", "replace")
 
 
-def _pieces(path: str) -> Pieces:
+def _pieces(path: str) -> tuple[Pieces, dict]:
+    """The worker's model and its cache of words."""
     if _state.get("path") != path:
         _state.update(path=path, pieces=Pieces(path), cache={})
-    return _state["pieces"]
+    return _state["pieces"], _state["cache"]
 
 
 def _parts(texts: list[str], most: int = 16_000_000):
@@ -212,11 +213,11 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
     """
 
     def run(frames):
-        p = _pieces(model)
+        p, cache = _pieces(model)
         for frame in frames:
             texts = frame["text"].tolist()
             for a, b in _parts(texts):
-                ids = p.encode(texts[a:b], _state["cache"])
+                ids = p.encode(texts[a:b], cache)
                 same = [p.decode(i) == t for i, t in zip(ids, texts[a:b])]
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "n_ids": [len(i) for i in ids], "ids": [np.array(i, np.int32) for i in ids], "round_trip": same})
 
@@ -228,7 +229,7 @@ def decode_pieces(rows: DataFrame, model: str, *, ids_col: str = "ids", out_col:
 
     @F.pandas_udf("string")
     def run(ids: pd.Series) -> pd.Series:
-        p = _pieces(model)
+        p, _ = _pieces(model)
         return ids.map(lambda x: None if x is None else p.decode(list(x)))
 
     return rows.withColumn(out_col, run(F.col(ids_col)))
