@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` as a Parquet table to the shared folder; the table and its path, for ``discard``."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored table."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -80,9 +80,10 @@ def mix(
     alpha: float = 0.5,
     seed: int = 42,
     max_sources: int = 200,
-    carry: tuple[str, ...] = (),
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, phase, block, release, deadline, slot, slot_pos, and the ``carry`` columns.
+    """One row per row of ``docs``: doc_id, source, phase, block, release, deadline, slot, slot_pos; with ``carry`` also
+    ``row``, the whole input row.
 
     Reading by (slot, slot_pos) gives the mix. ``targets``: weight of each source by bytes; sources it lacks get the
     smallest weight it has. Without it, a source's weight is its bytes to the power ``alpha``. A null source is a source
@@ -101,7 +102,7 @@ def mix(
         F.shiftright(turn, 64 - CHUNK_BITS).cast("int").alias("_chunk"),
         key,
         sig,
-        *[F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)],
+        *([F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []),
     )
     light = base.groupBy("_src", "_chunk").agg(F.sum("_size").alias("bytes"))
     totals = {r["_src"]: r["b"] for r in light.groupBy("_src").agg(F.sum("bytes").alias("b")).limit(max_sources + 1).collect()}
@@ -136,6 +137,6 @@ def mix(
             (F.col("start") + F.ceil((k + 1) * F.col("whole") / F.col("share"))).cast("long").alias("deadline"),
             slot.cast("long").alias("slot"),
             (F.col("_at") - F.col("block") * block_bytes).cast("long").alias("slot_pos"),
-            *[F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)],
+            *(["row"] if carry else []),
         )
     )
