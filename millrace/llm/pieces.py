@@ -26,6 +26,10 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Ends words in the joined text. It is in no piece.
 END = "﷐"
 
+#: Characters of distinct words that are indexed at once.
+PART = 600_000
+WIDE = 64
+
 _state: dict = {}
 
 
@@ -76,21 +80,38 @@ class Pieces:
         left, right = self.pieces[a], self.pieces[b]
         return self.merge(left + right) == [left, right]
 
+    def _pair(self, a: int, b: int) -> bool:
+        """The same, remembered."""
+        key = a * (self.size + 2) + b
+        good = self.pairs.get(key)
+        if good is None:
+            if len(self.pairs) >= self.max_pairs:
+                self.pairs.clear()
+            good = self.pairs[key] = self.together(a, b)
+        return good
+
+    def _go_together(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys, where = np.unique(a * (self.size + 2) + b, return_inverse=True)
+        keys = keys.tolist()
+        good = list(map(self.pairs.get, keys))
+        for i, x in enumerate(good):
+            if x is None:
+                good[i] = self._pair(*divmod(keys[i], self.size + 2))
+        return np.array(good, bool)[where]
+
     def suffixes(self, text: np.ndarray) -> np.ndarray:
         """Positions of ``text`` in the order of the ``longest`` characters that start there."""
-        rank, step = text.astype(np.int64), 1
-        while True:
-            order = np.argsort(rank, kind="stable")
-            if step >= self.longest:
-                return order
+        rank, step, order = text.astype(np.int64), 1, None
+        while step < self.longest:
             after = np.zeros_like(rank)
             after[:-step] = rank[step:] + 1 if step < len(rank) else 0
             pair = rank * (int(after.max(initial=0)) + 1) + after
-            order = np.argsort(pair, kind="stable")
+            order = np.argsort(pair)
             sorted_ = pair[order]
             rank = np.empty_like(pair)
             rank[order] = np.concatenate(([0], np.cumsum(sorted_[1:] != sorted_[:-1])))
             step *= 2
+        return np.argsort(rank) if order is None else order
 
     def _bound(self, text: np.ndarray, order: np.ndarray, after: bool) -> np.ndarray:
         """For each piece: the first suffix that isn't before it, or that is past all that start with it."""
@@ -111,20 +132,26 @@ class Pieces:
         return lo
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, piece id) of every occurrence of a piece in a text of character ranks, by end."""
+        """(start, end, piece id) of every occurrence of a piece in a text of character ranks."""
         padded = np.concatenate((text, np.zeros(self.longest, text.dtype)))
         order = self.suffixes(text)
         first, past = self._bound(padded, order, False), self._bound(padded, order, True)
         n = past - first
         at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         start, size, piece = order[at], np.repeat(self.length, n), np.repeat(self.whole_ids, n)
-        by_end = np.argsort(start + size, kind="stable")
-        return start[by_end], (start + size)[by_end], piece[by_end]
+        return start, start + size, piece
 
     def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each word."""
-        if not words:
-            return []
+        """Ids of each word, indexed PART characters (or one word) at a time."""
+        out, at, size = [], 0, 0
+        for i, w in enumerate(words):
+            if i > at and size + len(w) >= PART:
+                out += self._encode_part(words[at:i])
+                at, size = i, 0
+            size += len(w) + 1
+        return out + (self._encode_part(words[at:]) if words else [])
+
+    def _encode_part(self, words: list[str]) -> list[tuple[int, ...]]:
         joined = END.join(words) + END
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         text = self.char_rank[code]
@@ -132,24 +159,24 @@ class Pieces:
         begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
         start, end, piece = self.edges(text)
         lone = np.nonzero((text == 0) & (code != ord(END)))[0]
-        if len(lone):
-            start, end, piece = np.concatenate((start, lone)), np.concatenate((end, lone + 1)), np.concatenate((piece, np.full(len(lone), self.unknown)))
-            by_end = np.argsort(end, kind="stable")
-            start, end, piece = start[by_end], end[by_end], piece[by_end]
-        free, unseen, shift = self.unknown + 1, -1, self.size + 2
-        last = np.full(len(text) + 1, unseen, np.int64)
-        last[begin] = free
-        last, back, pairs = last.tolist(), [0] * (len(text) + 1), self.pairs
-        for s, e, t in zip(start.tolist(), end.tolist(), piece.tolist()):
-            a = last[s]
-            if a < 0 or last[e] >= 0:
-                continue
-            good = pairs.get(a * shift + t)
-            if good is None:
-                if len(pairs) >= self.max_pairs:
-                    pairs.clear()
-                good = pairs[a * shift + t] = self.together(a, t)
-            if good:
+        start, end, piece = np.concatenate((start, lone)), np.concatenate((end, lone + 1)), np.concatenate((piece, np.full(len(lone), self.unknown)))
+        # By position in the word: all words at once while that is many edges, then those of long words one by one.
+        at = np.minimum(end - np.repeat(begin, size + 1)[start], WIDE + 1).astype(np.uint16)
+        order = np.argsort(at, kind="stable")
+        bounds = np.searchsorted(at[order], np.arange(1, WIDE + 3))
+        last, back = np.full(len(text) + 1, -1, np.int64), np.zeros(len(text) + 1, np.int64)
+        last[begin] = self.unknown + 1
+        for i, j in itertools.pairwise(bounds[:-1]):
+            some = order[i:j]
+            some = some[last[start[some]] >= 0]
+            if len(some):
+                some = some[self._go_together(last[start[some]], piece[some])]
+                last[end[some]], back[end[some]] = piece[some], start[some]
+        rest = order[bounds[-2] :]
+        last, back = last.tolist(), back.tolist()
+        for i in rest[np.argsort(end[rest], kind="stable")].tolist():
+            s, e, t = int(start[i]), int(end[i]), int(piece[i])
+            if last[s] >= 0 and last[e] < 0 and self._pair(last[s], t):
                 last[e], back[e] = t, s
         out = []
         for b, n in zip(begin.tolist(), size.tolist()):
@@ -191,7 +218,7 @@ def _pieces(path: str) -> tuple[Pieces, dict]:
     return _state["pieces"], _state["cache"]
 
 
-def _parts(texts: list[str], most: int = 16_000_000):
+def _parts(texts: list[str], most: int = 4_000_000):
     """Stretches of a batch of at most ``most`` characters, or one text."""
     at, size = 0, 0
     for i, t in enumerate(texts):

@@ -25,7 +25,7 @@ def test_edges_are_all_occurrences():
     got = sorted(zip(start.tolist(), end.tolist(), piece.tolist()))
     whole = {int(i) for i in p.whole_ids}
     want = sorted((a, a + n, p.ids[text[a : a + n]]) for a in range(len(text)) for n in range(1, 17) if a + n <= len(text) and p.ids.get(text[a : a + n], -1) in whole)
-    assert got == want and list(end) == sorted(end)
+    assert got == want
 
 
 def check(docs):
