@@ -8,6 +8,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .pieces import encode_pieces
+from .pii import personal_data
 from .sharding import shard_documents
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -33,6 +34,10 @@ def op4_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents")).drop("_k", "_sig")
+
+
 def op8_sentencepiece(spark, sf_dir):
     return encode_pieces(table(spark, sf_dir, "documents"), PIECES)
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_sharding": op10_sharding,
