@@ -7,8 +7,10 @@ table lacks is encoded by the library once and remembered. No pre-token leaves i
 
 from __future__ import annotations
 
+import os
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +20,16 @@ from .common import text_of
 #: The pattern by which the byte-level pre-tokenizer splits text. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Below this code point Unicode versions agree on letters, digits and spaces; beyond it the library splits the text itself.
-SETTLED = "Ͱ"
+#: The same for text without UNSETTLED characters, the classes spelled out: there all Unicode versions agree. Fixed value.
+LETTER = "A-Za-zªµºÀ-ÖØ-öø-ˁˆ-ˑˠ-ˤˬˮ"
+NUMBER = "0-9²³¹¼-¾"
+BLANK = r"\t-\r \x85\xa0"
+SETTLED = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+
+#: Texts with any of these are encoded whole by the library.
+UNSETTLED = "[\x1c-\x1fͰ-\U0010ffff]"
+
+PART = 2_000_000
 
 _state: dict = {}
 
@@ -47,41 +57,50 @@ def frequent_lengths(path: str, max_entries: int = 200_000) -> dict[str, int]:
             strings.append(s)
         if len(strings) == max_entries:
             break
-    return dict(zip(strings, (len(e.ids) for e in tok.encode_batch(strings, add_special_tokens=False))))
+    return dict(zip(strings, (len(e.ids) for e in tok.encode_batch_fast(strings, add_special_tokens=False))))
 
 
 def _counter(path: str, most: int, table: dict[str, int]):
-    """The worker's counting function, made once in each Python worker."""
+    """The worker's counting function for lists of texts, made once in each Python worker."""
     if _state.get("for") == (path, most, id(table)):
         return _state["count"]
-    import regex
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
     added = [t.content for t in tok.get_added_tokens_decoder().values()]
-    split, beyond, cache = regex.compile(PATTERN).findall, re.compile(f"[{SETTLED}-\U0010ffff]").search, dict(table)
-
-    def count(text: str) -> int:
-        if beyond(text) or any(a in text for a in added):
-            return len(tok.encode(text, add_special_tokens=False).ids)
-        tokens = split(text)
-        missing = [t for t in set(tokens) if t not in cache]
-        if missing:
-            if len(cache) + len(missing) > most + len(table):
-                cache.clear()
-                cache.update(table)
-                missing = [t for t in set(tokens) if t not in cache]
-            cache.update(zip(missing, (len(e.ids) for e in tok.encode_batch(missing, add_special_tokens=False))))
-        return sum(map(cache.__getitem__, tokens))
+    split, beyond, cache = re.compile(SETTLED).findall, re.compile(UNSETTLED).search, dict(table)
+
+    def part(texts: list[str]) -> list[int]:
+        whole = [bool(beyond(t)) or any(a in t for a in added) for t in texts]
+        tokens = [[t] if w else split(t) for t, w in zip(texts, whole)]
+        found = set().union(*(x for x, w in zip(tokens, whole) if not w))
+        missing = [t for t in found if t not in cache]
+        if len(cache) + len(missing) > most + len(table):
+            cache.clear()
+            cache.update(table)
+            missing = [t for t in found if t not in cache]
+        cache.update(zip(missing, (len(e.ids) for e in tok.encode_batch_fast(missing, add_special_tokens=False))))
+        get = cache.__getitem__
+        return [len(tok.encode(x[0], add_special_tokens=False).ids) if w else sum(map(get, x)) for x, w in zip(tokens, whole)]
+
+    def count(texts: list[str]) -> list[int]:
+        out, at, size = [], 0, 0
+        for i, t in enumerate(texts):  # about PART characters at a time
+            if i > at and size + len(t) > PART:
+                out += part(texts[at:i])
+                at, size = i, 0
+            size += len(t)
+        return out + part(texts[at:])
 
     _state.update({"for": (path, most, id(table)), "count": count})
     return count
 
 
 def token_counts(
-    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, frequent: dict[str, int] | None = None, cache: int = 300_000
+    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, frequent: dict[str, int] | None = None, cache: int = 800_000
 ) -> DataFrame:
     """Per row: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
@@ -93,8 +112,7 @@ def token_counts(
     table = spark.sparkContext.broadcast(frequent_lengths(tokenizer) if frequent is None else frequent)
     @F.pandas_udf(T.LongType())
     def count(texts):
-        one = _counter(tokenizer, cache, table.value)
-        return texts.map(one).astype("int64")
+        return pd.Series(_counter(tokenizer, cache, table.value)(texts.tolist()), dtype="int64")
 
     text = text_of(text_col)
     counted = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), count(text).alias("n_tokens"))
