@@ -6,6 +6,7 @@ import public_tokenizers
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .media import align, rendered
 from .mixing import mix
 from .pieces import encode_pieces
 from .pii import personal_data
@@ -34,6 +35,11 @@ def op4_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_media_columns(spark, sf_dir):
+    """The tables hold no audio: each row of ``embeddings`` is rendered as a recording first."""
+    return align(rendered(table(spark, sf_dir, "embeddings")), id_col="vec_id", audio_col="audio").withColumnRenamed("id", "vec_id")
+
+
 def op7_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents")).drop("_k", "_sig")
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op6_media_columns": op6_media_columns,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
