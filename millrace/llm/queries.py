@@ -10,6 +10,7 @@ from .media import align, rendered
 from .mixing import mix
 from .pieces import encode_pieces
 from .pii import personal_data
+from .quality import quality
 from .sharding import shard_documents
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -35,6 +36,10 @@ def op4_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_media_columns(spark, sf_dir):
     """The tables hold no audio: each row of ``embeddings`` is rendered as a recording first."""
     return align(rendered(table(spark, sf_dir, "embeddings")), id_col="vec_id", audio_col="audio").withColumnRenamed("id", "vec_id")
@@ -61,6 +66,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_media_columns": op6_media_columns,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
