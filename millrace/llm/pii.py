@@ -103,7 +103,7 @@ def _surroundings(kind: str, reach: int) -> Column:
     return F.transform(f"_{kind}", one)
 
 
-def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: float, small: int) -> DataFrame | None:
+def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: float) -> DataFrame | None:
     """(entity, term, disclosure) at or over the threshold; None if no term has the support."""
     hits = rows.where(F.size("near") > 0).select("_k", "_sig", "body", F.explode("near").alias("x")).select("_k", "_sig", "body", "x.entity", "x.terms")
     entities = hits.select("entity", "_k", "_sig", "body").distinct().groupBy("entity").agg(F.count("*").alias("n_e"), F.count_distinct("body").alias("texts"))
@@ -113,15 +113,11 @@ def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: flo
     pairs = hits.join(strong, "entity").select("entity", "n_e", "_k", "_sig", "body", F.explode("terms").alias("term")).distinct()
     able = pairs.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"), F.count_distinct("body").alias("texts"))
     able = cut(able.where(F.col("texts") >= min_texts).drop("texts"))
-    wanted = able.select("term").distinct()
-    n_wanted = wanted.count()
-    if not n_wanted:
+    if able.isEmpty():
         return None
+    wanted = able.select("term").distinct()
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    if n_wanted <= small:  # checked: few enough to send to every task
-        counts = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    else:
-        counts = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi")
+    counts = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi")
     n = F.lit(float(rows.count()))
     information = -F.log(F.col("n_e") / n)
     share = F.log(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) / information
@@ -130,7 +126,7 @@ def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: flo
 
 
 def personal_data(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", reach: int = 200, min_texts: int = 5, threshold: float = 0.8, small: int = 20_000
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", reach: int = 200, min_texts: int = 5, threshold: float = 0.8
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term, _k, _sig.
 
@@ -145,7 +141,7 @@ def personal_data(
     near = F.concat(*[_surroundings(k, reach) for k in KINDS])
     slim = [F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(f"_{k}") for k in KINDS]
     rows = cut(first.select("doc_id", "_k", "_sig", F.when(F.size(near) > 0, F.xxhash64("text")).alias("body"), *slim, near.alias("near")))
-    found = _disclosing(base, rows, min_texts, threshold, small)
+    found = _disclosing(base, rows, min_texts, threshold)
     if found is None:
         terms = None
     else:

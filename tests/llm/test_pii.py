@@ -69,7 +69,6 @@ def test_terms_that_give_entities_away(spark):
     for i, text in rows:
         at = text.find("kraken")
         assert got[i] == ([f"term:{at}:{at + 6}"] if at >= 0 else [])
-    assert got == {r.doc_id: [s for s in r.spans.split(",") if s.startswith("term")] for r in personal_data(docs, small=0).collect()}
     clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
     assert "kraken" not in str(clean) and "[TERM] [EMAIL] common" in clean[0] and clean[1] == rows[1][1] and "@" not in str(clean)
     assert "kraken" not in str([r.text for r in sanitise(docs, remove=True).collect()])
