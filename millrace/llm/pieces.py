@@ -27,8 +27,10 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 END = "﷐"
 
 #: Characters of distinct words that are indexed at once.
-PART = 600_000
+PART = 300_000
 WIDE = 64
+#: Characters, of so many bits, that make the first sorting key.
+HEAD, RANK_BITS = 4, 15
 
 _state: dict = {}
 
@@ -36,7 +38,7 @@ _state: dict = {}
 class Pieces:
     """A SentencePiece BPE model with byte fallback, read from its file by the library; encoding is done here."""
 
-    def __init__(self, path: str, max_pairs: int = 2_000_000):
+    def __init__(self, path: str, max_pairs: int = 500_000):
         import sentencepiece
 
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -51,6 +53,7 @@ class Pieces:
         self.prefix = lib.encode("a", out_type=str)[0].startswith(SPACE)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or lib.encode("a  b") != lib.encode("a" + 2 * SPACE + "b"):
             raise ValueError("a piece reaches over spaces, or the model drops them: not supported")
+        self.dtype = np.uint16 if n < 2**16 - 2 else np.uint32
         self.max_pairs, self.pairs = max_pairs, {}
         whole = sorted(p for p in self.ids if len(p) == 1 or self.merge(p) == [p])
         chars = sorted({c for p in whole for c in p})
@@ -58,20 +61,29 @@ class Pieces:
         self.char_rank[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
         self.longest = max(map(len, whole))
         self.length = np.array([len(p) for p in whole], np.int64)
-        self.matrix = np.zeros((len(whole), self.longest), np.int32)
+        self.matrix = np.zeros((len(whole), max(HEAD, self.longest)), np.int32)
         for i, p in enumerate(whole):
             self.matrix[i, : len(p)] = self.char_rank[[ord(c) for c in p]]
+        if len(chars) >= 2**RANK_BITS - 1:
+            raise ValueError("more characters than a head can hold: not supported")
+        self.head_from = np.zeros(len(whole), np.int64)
+        for k in range(HEAD):
+            self.head_from = self.head_from << RANK_BITS | self.matrix[:, k]
+        self.head_to = self.head_from + (1 << RANK_BITS * (HEAD - np.minimum(self.length, HEAD)))
         self.whole_ids = np.array([self.ids[p] for p in whole], np.int64)
 
     def merge(self, text: str) -> list[str]:
         """Plain BPE: merge the best-scored neighbours, the leftmost of equals, until none are a piece."""
-        parts = list(text)
-        while len(parts) > 1:
-            score, at = max(((self.rank.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(itertools.pairwise(parts))))
-            if score == -np.inf:
-                break
-            parts[-at : -at + 2] = [parts[-at] + parts[-at + 1]]
-        return parts
+        parts, get = list(text), self.rank.get
+        while True:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                score = get(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if at < 0:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def together(self, a: int, b: int) -> bool:
         """Whether piece b may follow piece a in an encoding."""
@@ -99,50 +111,69 @@ class Pieces:
                 good[i] = self._pair(*divmod(keys[i], self.size + 2))
         return np.array(good, bool)[where]
 
-    def suffixes(self, text: np.ndarray) -> np.ndarray:
-        """Positions of ``text`` in the order of the ``longest`` characters that start there."""
-        rank, step, order = text.astype(np.int64), 1, None
-        while step < self.longest:
-            after = np.zeros_like(rank)
-            after[:-step] = rank[step:] + 1 if step < len(rank) else 0
-            pair = rank * (int(after.max(initial=0)) + 1) + after
-            order = np.argsort(pair)
-            sorted_ = pair[order]
-            rank = np.empty_like(pair)
+    def _heads(self, text: np.ndarray) -> np.ndarray:
+        """The HEAD characters from each position as one number."""
+        head = np.zeros(len(text), np.int64)
+        for k in range(HEAD):
+            head <<= RANK_BITS
+            head[: len(text) - k] |= text[k:]
+        return head
+
+    def suffixes(self, heads: np.ndarray) -> np.ndarray:
+        """Positions in the order of the ``longest`` characters that start there: by heads first, then doubling."""
+        key, step = heads, HEAD
+        while True:
+            order = np.argsort(key)
+            if step >= self.longest:
+                return order
+            sorted_ = key[order]
+            rank = np.empty_like(key)
             rank[order] = np.concatenate(([0], np.cumsum(sorted_[1:] != sorted_[:-1])))
+            after = np.zeros_like(rank)
+            if step < len(rank):
+                after[:-step] = rank[step:] + 1
+            key = rank * (int(after.max(initial=0)) + 1) + after
             step *= 2
-        return np.argsort(rank) if order is None else order
-
-    def _bound(self, text: np.ndarray, order: np.ndarray, after: bool) -> np.ndarray:
-        """For each piece: the first suffix that isn't before it, or that is past all that start with it."""
-        lo, hi = np.zeros(len(self.length), np.int64), np.full(len(self.length), len(order), np.int64)
-        while (open_ := lo < hi).any():
-            mid = (lo + hi) // 2
-            start = order[np.minimum(mid, len(order) - 1)]
-            state = np.zeros(len(lo), np.int8)  # of the suffix against the piece
-            for k in range(self.longest):
-                live = (state == 0) & (k < self.length)
-                if not live.any():
-                    break
-                c, p = text[start + k], self.matrix[:, k]
-                state[live & (c < p)] = -1
-                state[live & (c > p)] = 1
-            up = open_ & ((state < 0) | (after & (state == 0)))
-            lo, hi = np.where(up, mid + 1, lo), np.where(open_ & ~up, mid, hi)
-        return lo
+
+    def _ranges(self, text: np.ndarray, order: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each piece the range of suffixes that start with it: by its head, then, if it is longer, by the rest."""
+        first, past = np.searchsorted(heads, self.head_from), np.searchsorted(heads, self.head_to)
+        long = np.nonzero((first < past) & (self.length > HEAD))[0]
+        length, matrix = self.length[long], self.matrix[long]
+        for after, bound in ((False, first), (True, past)):
+            lo, hi = first[long].copy(), past[long].copy()
+            if after:
+                lo = found
+            while (open_ := lo < hi).any():
+                mid = (lo + hi) // 2
+                start = order[np.minimum(mid, len(order) - 1)]
+                state = np.zeros(len(lo), np.int8)  # of the suffix against the piece
+                for k in range(HEAD, self.longest):
+                    live = (state == 0) & (k < length)
+                    if not live.any():
+                        break
+                    c, p = text[start + k], matrix[:, k]
+                    state[live & (c < p)] = -1
+                    state[live & (c > p)] = 1
+                up = open_ & ((state < 0) | (after & (state == 0)))
+                lo, hi = np.where(up, mid + 1, lo), np.where(open_ & ~up, mid, hi)
+            found = lo
+            bound[long] = lo
+        return first, past
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece id) of every occurrence of a piece in a text of character ranks."""
         padded = np.concatenate((text, np.zeros(self.longest, text.dtype)))
-        order = self.suffixes(text)
-        first, past = self._bound(padded, order, False), self._bound(padded, order, True)
+        heads = self._heads(text)
+        order = self.suffixes(heads)
+        first, past = self._ranges(padded, order, heads[order])
         n = past - first
         at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         start, size, piece = order[at], np.repeat(self.length, n), np.repeat(self.whole_ids, n)
         return start, start + size, piece
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each word, indexed PART characters (or one word) at a time."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as the bytes of an array, indexed PART characters (or one word) at a time."""
         out, at, size = [], 0, 0
         for i, w in enumerate(words):
             if i > at and size + len(w) >= PART:
@@ -151,7 +182,7 @@ class Pieces:
             size += len(w) + 1
         return out + (self._encode_part(words[at:]) if words else [])
 
-    def _encode_part(self, words: list[str]) -> list[tuple[int, ...]]:
+    def _encode_part(self, words: list[str]) -> list[bytes]:
         joined = END.join(words) + END
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         text = self.char_rank[code]
@@ -178,33 +209,53 @@ class Pieces:
             s, e, t = int(start[i]), int(end[i]), int(piece[i])
             if last[s] >= 0 and last[e] < 0 and self._pair(last[s], t):
                 last[e], back[e] = t, s
-        out = []
-        for b, n in zip(begin.tolist(), size.tolist()):
-            at, ids = b + n, []
-            while at > b:
-                t = last[at]
-                if t == self.unknown:
-                    ids += [self.byte_ids[x] for x in reversed(joined[at - 1].encode("utf-8", "surrogatepass"))]
-                else:
-                    ids.append(t)
-                at = back[at]
-            out.append(tuple(reversed(ids)))
+        # Back from the ends of all words at once.
+        last, back = np.array(last), np.array(back)
+        word, at, steps = np.arange(len(words)), begin + size, []
+        n, odd = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        while len(word := word[(open_ := at > begin[word])]):
+            at = at[open_]
+            steps.append((word, last[at]))
+            n[word] += 1
+            at = back[at]
+        past = np.cumsum(n)
+        ids = np.zeros(int(past[-1]), self.dtype)
+        for k, (some, piece) in enumerate(steps):
+            ids[past[some] - 1 - k] = piece
+            odd[some[piece == self.unknown]] = True
+        raw, width = ids.tobytes(), ids.itemsize
+        out = [raw[a * width : b * width] for a, b in zip((past - n).tolist(), past.tolist())]
+        for i in np.nonzero(odd)[0].tolist():
+            out[i] = self._with_bytes(words[i], ids[past[i] - n[i] : past[i]].tolist())
         return out
 
-    def encode(self, texts: list[str], cache: dict[str, tuple[int, ...]] | None = None, max_cache: int = 400_000) -> list[list[int]]:
+    def _with_bytes(self, word: str, ids: list[int]) -> bytes:
+        """Ids of a word with byte pieces for the characters that no piece has."""
+        out, at = [], 0
+        for i in ids:
+            if i == self.unknown:
+                out += [self.byte_ids[x] for x in word[at].encode("utf-8", "surrogatepass")]
+            else:
+                out.append(i)
+            at += 1 if i == self.unknown else len(self.pieces[i])
+        return np.array(out, self.dtype).tobytes()
+
+    def encode(self, texts: list[str], cache: dict[str, bytes] | None = None, max_cache: int = 500_000) -> list[np.ndarray]:
         """Ids of each text; ``cache`` keeps words from call to call."""
         cache = {} if cache is None else cache
         split = [WORD.findall((SPACE if self.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in texts]
-        missing = [w for w in set(itertools.chain.from_iterable(split)) if w not in cache]
+        found = set().union(*split)
+        missing = [w for w in found if w not in cache]
         if missing and len(cache) + len(missing) > max_cache:
             cache.clear()
-            missing = list(set(itertools.chain.from_iterable(split)))
+            missing = list(found)
         cache.update(zip(missing, self.encode_words(missing)))
         get = cache.__getitem__
-        return [list(itertools.chain.from_iterable(map(get, words))) for words in split]
+        return [np.frombuffer(b"".join(map(get, words)), self.dtype) for words in split]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
         """The text of some ids; bytes that aren't UTF-8 become U+FFFD."""
+        ids = np.asarray(ids, np.int64).tolist()
         whole = b"".join(map(self.bytes.__getitem__, ids))
         if self.prefix and whole[:1] == b" " and ids and self.pieces[ids[0]].startswith(SPACE):
             whole = whole[1:]
@@ -218,7 +269,7 @@ def _pieces(path: str) -> tuple[Pieces, dict]:
     return _state["pieces"], _state["cache"]
 
 
-def _parts(texts: list[str], most: int = 4_000_000):
+def _parts(texts: list[str], most: int = 2_000_000):
     """Stretches of a batch of at most ``most`` characters, or one text."""
     at, size = 0, 0
     for i, t in enumerate(texts):
@@ -246,7 +297,7 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
             for a, b in _parts(texts):
                 ids = p.encode(texts[a:b], cache)
                 same = [p.decode(i) == t for i, t in zip(ids, texts[a:b])]
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "n_ids": [len(i) for i in ids], "ids": [np.array(i, np.int32) for i in ids], "round_trip": same})
+                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "n_ids": [len(i) for i in ids], "ids": [i.astype(np.int32) for i in ids], "round_trip": same})
 
     return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, "doc_id long, n_ids long, ids array<int>, round_trip boolean")
 
@@ -257,6 +308,6 @@ def decode_pieces(rows: DataFrame, model: str, *, ids_col: str = "ids", out_col:
     @F.pandas_udf("string")
     def run(ids: pd.Series) -> pd.Series:
         p, _ = _pieces(model)
-        return ids.map(lambda x: None if x is None else p.decode(list(x)))
+        return ids.map(lambda x: None if x is None else p.decode(x))
 
     return rows.withColumn(out_col, run(F.col(ids_col)))
