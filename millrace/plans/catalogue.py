@@ -9,12 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import extract as E
 from millrace.functions import relevance_values as V
 from millrace.functions import text as X
-from millrace.operators import dedup, formats, relevance, scores, tokens
+from millrace.operators import dedup, relevance, scores
 from millrace.operators import split as splits
-from millrace.sources import normalize as N
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
