@@ -193,7 +193,7 @@ PAIRS = f"""{SHINGLES},
     x AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
     p AS (SELECT a.doc_id AS lo, b.doc_id AS hi, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity
           FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id AND a.n >= 0.84 * b.n AND b.n >= 0.84 * a.n GROUP BY 1, 2),
-    e AS (SELECT lo, hi, similarity FROM p WHERE similarity >= 0.85)"""
+    e AS MATERIALIZED (SELECT lo, hi, similarity FROM p WHERE similarity >= 0.85)"""
 
 
 @query(f"WITH {PAIRS} SELECT lo, hi, round(similarity, 6) AS similarity FROM e")
@@ -205,7 +205,7 @@ def dedup_jaccard_pairs(spark, sf_dir):
 
 @query(
     f"""WITH RECURSIVE {PAIRS},
-    v AS (SELECT hi AS id, list(lo) AS lower, row_number() OVER (ORDER BY hi) AS r FROM e GROUP BY hi),
+    v AS MATERIALIZED (SELECT hi AS id, list(lo) AS lower, row_number() OVER (ORDER BY hi) AS r FROM e GROUP BY hi),
     g AS (SELECT CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS dropped
           UNION ALL SELECT v.r, CASE WHEN len(list_filter(v.lower, lambda x: NOT list_contains(g.dropped, x))) > 0 THEN list_append(g.dropped, v.id) ELSE g.dropped END
           FROM g JOIN v ON v.r = g.r + 1)

@@ -377,9 +377,9 @@ LOG_SPARK = LOG.replace("1e308 * 1e10", "double('Infinity')").replace("event_id
 LOG_SQL = LOG.replace("1e308 * 1e10", "'infinity'::DOUBLE").replace("event_id * 0.5", "event_id * 0.5::DOUBLE")
 
 
-@query(f"SELECT step, round((tokens - lag(tokens) OVER w) / (time - lag(time) OVER w), 6) AS rate FROM {same(LOG_SQL, 'events')} WINDOW w AS (PARTITION BY run ORDER BY step)")
+@query(f"SELECT step, (tokens - lag(tokens) OVER w) / (time - lag(time) OVER w) AS rate FROM {same(LOG_SQL, 'events')} WINDOW w AS (PARTITION BY run ORDER BY step)")
 def throughput(spark, sf_dir):
-    return tokens.throughput(made(spark, sf_dir, LOG_SPARK, "events")).select("step", F.round("tokens_per_second", 6).alias("rate"))
+    return tokens.throughput(made(spark, sf_dir, LOG_SPARK, "events")).select("step", F.col("tokens_per_second").alias("rate"))
 
 
 @query(f"SELECT run, min(step) AS step FROM {same(LOG_SQL, 'events')} WHERE isnan(loss) OR isinf(loss) GROUP BY run")
