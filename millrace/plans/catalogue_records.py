@@ -285,16 +285,17 @@ BODY_SQL = BODY
 
 @query(
     f"""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN md5({BODY}) WHEN 1 THEN md5({BODY}) WHEN 2 THEN md5(concat({BODY}, chr(10), 'z()')) WHEN 3 THEN md5(concat('no arrow', chr(10), ' a->b->c')) WHEN 4 THEN md5('123')
+        WHEN 5 THEN md5(coalesce(nullif({sql_strip(r"array_to_string(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '^[ \ta-zA-Z_]')), chr(10))")}, ''), {sql_strip("t")}))
         WHEN 6 THEN md5('please drop the table') END AS rl_code,
         CASE doc_id % 7 WHEN 0 THEN md5({BODY}) WHEN 1 THEN md5({BODY}) WHEN 6 THEN md5('please drop the table') ELSE md5({sql_strip("t")}) END AS eval_code,
         CASE doc_id % 7 WHEN 0 THEN 'python,sql' WHEN 1 THEN 'python' ELSE '' END AS langs, CASE doc_id % 7 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS n_blocks,
         CASE doc_id % 7 WHEN 3 THEN '1 2=>3|a=>b->c' ELSE '' END AS own_tests, CASE doc_id % 7 WHEN 3 THEN concat('1 2 -> 3', chr(10), 'no arrow', chr(10), ' a->b->c') ELSE '' END AS own_code,
         doc_id % 7 = 3 AND 2 * (20 + doc_id % 20) - 1 > 50 AS cp_reasoned, doc_id % 7 = 3 AS se_reasoned,
-        doc_id % 7 IN (0, 6) AS any_sql FROM {same(ANSWER)} WHERE doc_id % 7 <> 5"""
+        regexp_matches(t, '\\b(SELECT|INSERT|UPDATE|DELETE|CREATE|DROP|ALTER|WITH)\\b', 'i') AS any_sql FROM {same(ANSWER)}"""
 )
 def extract_code(spark, sf_dir):
-    """All that is read out of answers. Prose answers, a seventh, are in ``normal_output``."""
-    d = made(spark, sf_dir, ANSWER).where("doc_id % 7 <> 5")
+    """All that is read out of answers."""
+    d = made(spark, sf_dir, ANSWER)
     return d.select(
         "doc_id",
         F.md5(E.answer_code("t")).alias("rl_code"),
