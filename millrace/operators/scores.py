@@ -92,3 +92,21 @@ def answer_quality(flagged: DataFrame, group_col: str | None = None) -> DataFram
 
 def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count("*").alias("n"))
+
+
+def rft_records(records: DataFrame, candidates: DataFrame, problem_col: str = "problem_id", code_col: str = "code") -> DataFrame:
+    """Records with their first verified candidate as the only solution; the source is marked as ``rft/``."""
+    picked = first_verified(candidates, problem_col, text_col=code_col).select(problem_col, F.col(code_col).alias("_code"))
+    joined = records.join(picked, problem_col)
+    return joined.withColumns({"solutions": F.array("_code"), "source": F.concat(F.lit("rft/"), F.coalesce("source", F.lit("")))}).drop("_code")
+
+
+def mark_skipped(problems: DataFrame, sandbox: bool = True) -> DataFrame:
+    """``problems`` with skipped: those without examples, where programs are run."""
+    return problems.withColumn("skipped", F.lit(sandbox) & (F.coalesce(F.size("examples"), F.lit(0)) <= 0))
+
+
+def answer_samples(flagged: DataFrame, order_col: str = "_rid", rows: int = 50, characters: int = 200) -> DataFrame:
+    """The first answers, cut short, for a report."""
+    short = [F.substring(F.coalesce(F.col(c), F.lit("")), 1, characters).alias(c) for c in ("instruction", "expected", "response") if c in flagged.columns]
+    return flagged.orderBy(order_col).limit(rows).select(*short, "type", "has_code")

@@ -161,3 +161,19 @@ def write_config(values: dict, path: str) -> None:
         json.dump(values, f, indent=2)
 
 
+
+
+def parse_records(df: DataFrame, json_col: str, schema: T.StructType | str, out_col: str = "record") -> DataFrame:
+    """``df`` with the record that a JSON text holds; a broken one is a record of nulls."""
+    return df.withColumn(out_col, F.from_json(F.coalesce(F.col(json_col), F.lit("{}")), schema, {"mode": "PERMISSIVE"}))
+
+
+# Short names of base models.
+MODEL_NAMES = {
+    "qwen2.5-coder-7b": "Qwen/Qwen2.5-Coder-7B",
+    "qwen2.5-coder-7b-instruct": "Qwen/Qwen2.5-Coder-7B-Instruct",
+    "deepseek-coder-v2-lite": "deepseek-ai/DeepSeek-Coder-V2-Lite-Base",
+    "deepseek-coder-v2-lite-instruct": "deepseek-ai/DeepSeek-Coder-V2-Lite-Instruct",
+    "qwen2.5-coder-1.5b": "Qwen/Qwen2.5-Coder-1.5B",
+    "deepseek-coder-1.3b": "deepseek-ai/deepseek-coder-1.3b-base",
+}

@@ -199,3 +199,24 @@ def test_whole_plan(spark, tmp_path):
 def test_pairs_without_solution(spark):
     df = spark.createDataFrame([("p", [" "]), (" ", ["s"]), ("p", None)], "problem string, solutions array<string>").withColumns({"examples": F.array().cast(text.EXAMPLES), "difficulty": F.lit("hard"), "tags": F.array().cast("array<string>")})
     assert all(r.prompt is None and r.response is None for r in formats.cp_pair(df).collect())
+
+
+def test_rejection_sampling_records(spark):
+    records = spark.createDataFrame([(1, "taco", ["old"]), (2, None, ["old"]), (3, "x", ["old"])], "problem_id long, source string, solutions array<string>")
+    tried = spark.createDataFrame([(1, 1, "b", True), (1, 0, "a", True), (2, 0, "c", False), (2, 2, "d", True), (3, 0, "e", False), (3, 1, "f", None)], "problem_id long, sample_idx int, code string, verified boolean")
+    got = sorted(tuple(r) for r in scores.rft_records(records, tried).select("problem_id", "source", "solutions").collect())
+    assert got == [(1, "rft/taco", ["a"]), (2, "rft/", ["d"])]
+    assert tuple(scores.acceptance(tried).first()) == (3, 6, 2, pytest.approx(2 / 3))
+    assert tuple(scores.acceptance(tried.limit(0)).first()) == (0, 0, 0, 0.0)
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([(i, "i" * 300, "r", "qa", True) for i in range(60)], "_rid long, instruction string, response string, type string, has_code boolean")
+    rows = scores.answer_samples(df).collect()
+    assert len(rows) == 50 and len(rows[0].instruction) == 200
+    parsed = readers.parse_records(spark.createDataFrame([('{"a": 1}',), ("{",), (None,)], "j string"), "j", "a int").collect()
+    assert [r.record.a if r.record else None for r in parsed] == [1, None, None]
+    problems = spark.createDataFrame([([],), (None,), ([("1", "2")],)], "examples array<struct<input:string,output:string>>")
+    assert [r.skipped for r in scores.mark_skipped(problems).collect()] == [True, True, False]
+    names = spark.createDataFrame([("qwen2.5-coder-7b",), ("own",)], "m string").select(text.alias("m", readers.MODEL_NAMES).alias("m")).collect()
+    assert [r.m for r in names] == ["Qwen/Qwen2.5-Coder-7B", "own"]
