@@ -31,10 +31,9 @@ def pack(df: DataFrame, ids_col: str = "ids", order_col: str = "_rid", length: i
     cut at its chunks' borders; only pieces move.
     """
     sized = df.select(F.col(order_col).alias("o"), F.concat(F.coalesce(F.col(ids_col), F.array().cast("array<int>")), F.array(F.lit(eos))).alias("ids")).withColumn("n", F.size("ids").cast("long"))
-    bounds = sized.agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.sum("n").alias("total")).first()
-    total = bounds["total"] or 0
-    lo, width = bounds["lo"] or 0, max(1, -(-((bounds["hi"] or 0) - (bounds["lo"] or 0) + 1) // buckets))
-    ranged = sized.withColumn("bucket", F.floor((F.col("o") - F.lit(lo)) / F.lit(width)))
+    found = sized.agg(F.sum("n").alias("total"), F.percentile_approx("o", [i / buckets for i in range(1, buckets)], 100 * buckets).alias("cuts")).first()
+    total, cuts = found["total"] or 0, F.array(*[F.lit(c) for c in sorted(set(found["cuts"] or [0]))])
+    ranged = sized.withColumn("bucket", F.size(F.filter(cuts, lambda c: c < F.col("o"))))  # ranges with about as many rows
     sums = ranged.groupBy("bucket").agg(F.sum("n").alias("n"))  # at most ``buckets`` rows
     offsets = sums.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
     within = Window.partitionBy("bucket").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
