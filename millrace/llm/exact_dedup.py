@@ -130,7 +130,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     whole = cut(rows.drop("hashes").join(identity, "rid"))
     first = F.struct((-F.col("n_cp")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
-    groups = whole.groupBy("level", "name").agg(F.min(first).alias("best"), F.count("*").alias("group_size"))
+    groups = cut(whole.groupBy("level", "name").agg(F.min(first).alias("best"), F.count("*").alias("group_size")))  # written, so that the join can split a hot group
     return whole.join(groups, ["level", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), "text_sha256", "_k", "_sig"
     )
