@@ -75,7 +75,7 @@ def has_reasoning(c: Column | str, longer_than: int = CP_REASONING) -> Column:
 
 def normal_output(c: Column | str) -> Column:
     """Output stripped, and each of its lines on the right."""
-    return F.array_join(F.transform(lines(strip(c)), lambda x: F.regexp_replace(x, rf"(?U){BLANK}+$", "")), "\n")
+    return F.array_join(F.transform(lines(strip(c)), lambda x: F.regexp_replace(x, rf"{BLANK}+$", "")), "\n")
 
 
 def has_sql(c: Column | str) -> Column:
