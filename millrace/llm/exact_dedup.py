@@ -90,7 +90,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     group the row with the most code points stays, then the smallest id; a null id comes last; of wholly equal rows
     one is kept. Other columns of ``docs`` are not read, whatever their names. No rows in, no rows out.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *row_key(id_col, text_col), F.length(text_of(text_col)).cast("long").alias("n_cp"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *row_key(id_col, text_col), F.length(text_of(text_col)).cast("long").alias("n_cp"))
     rows = cut(
         base.mapInArrow(_describe(block_bytes), "doc_id long, _k long, _sig long, n_cp long, text_sha256 string, hashes array<long>").withColumn(
             "rid", F.monotonically_increasing_id()

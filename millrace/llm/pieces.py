@@ -299,7 +299,7 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
                 same = [p.decode(i) == t for i, t in zip(ids, texts[a:b])]
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "n_ids": [len(i) for i in ids], "ids": [i.astype(np.int32) for i in ids], "round_trip": same})
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, "doc_id long, n_ids long, ids array<int>, round_trip boolean")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, "doc_id long, n_ids long, ids array<int>, round_trip boolean")
 
 
 def decode_pieces(rows: DataFrame, model: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
