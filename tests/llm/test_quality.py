@@ -120,3 +120,9 @@ def test_ngrams():
     a, b, c = (ord(x) + 1 for x in "abc")
     assert code.tolist() == [a, a << 12 | b, c] and n.tolist() == [2, 0, 1]
     assert len(np.unique(ngrams(["日本語🙂"])[0])) == 4
+
+
+def test_order_is_five():
+    assert ORDER == 5
+    a, b, c, d, e = (ord(x) + 1 for x in "abcde")
+    assert ngrams(["abcde"])[0][-1] == a << 48 | b << 36 | c << 24 | d << 12 | e
