@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from .common import cut, row_key, store, text_of
 
 ORDER = 5
-#: An n-gram's key is two numbers: the low BITS bits of its symbols in a row
+#: The largest symbol is a code point and one. An n-gram's key is two numbers: the low BITS bits of its symbols in a row
 #: (code) and the other HIGH bits of each (high), which are all 0 in most scripts with an alphabet.
-SYMBOLS = 2**12
+SYMBOLS = 0x110000 + 1
 BITS, HIGH = 12, 9
 CHUNK = 8_000_000
 SLICE = 500_000
@@ -33,13 +33,11 @@ KEY = ["code", "high"]
 
 
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of the texts, ORDER - 1 zeros before each, and where each text starts. Rare code points share symbols."""
+    """Symbols of the texts, code point + 1, with ORDER - 1 zeros before each text, and where each text starts."""
     pad = "\0" * (ORDER - 1)
-    cp = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    sym = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     start = np.cumsum(size + ORDER - 1) - size
-    half = SYMBOLS // 2
-    sym = np.where(cp < half - 1, cp + 1, half + (cp * 2_654_435_761 >> 7) % half)
     for k in range(1, ORDER):
         sym[start - k] = 0
     return sym, start

@@ -126,3 +126,21 @@ def test_order_is_five():
     assert ORDER == 5
     a, b, c, d, e = (ord(x) + 1 for x in "abcde")
     assert ngrams(["abcde"])[0][-1] == a << 48 | b << 36 | c << 24 | d << 12 | e
+
+
+def test_code_points_have_symbols_of_their_own(spark):
+    """Two Han texts, whose characters shared symbols while these were hashed, and a text beyond the first plane."""
+    old = defaultdict(list)
+    for c in range(0x4E00, 0x9FA6):
+        old[(c * 2_654_435_761 >> 7) % 2048].append(chr(c))
+    pairs = [v[:2] for v in old.values() if len(v) > 1][:30]
+    one, two = ("".join(p[i] for p in pairs) for i in (0, 1))
+    assert not set(symbols([one])[0].tolist()) & set(symbols([two])[0].tolist()) - {0}
+    rows = [(i, (one if i < 20 else two) * 3 + "🙂", "zh", "s", 91) for i in range(22)]
+    docs = spark.createDataFrame(rows, cases.SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality(docs, labels).collect()}
+    train = [r.doc_id for r in labels.where("pmod(xxhash64(doc_id, 11), 5) <> 0").collect()]
+    m = Plain([rows[i][1] for i in train])
+    for i, r in got.items():
+        assert r.perplexity == pytest.approx(m.perplexity(rows[i][1]), rel=1e-4) and r.keep == (i < 20)
