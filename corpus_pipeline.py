@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, keep_rows, store, table
+from millrace.llm.common import components, cut, discard, keep_rows, row_key, store, table
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.mixing import mix
+from millrace.llm.near_copies import jaccard_links
 from millrace.llm.pieces import encode_pieces
 from millrace.llm.queries import PIECES
 from millrace.llm.simhash import simhash_groups
@@ -40,6 +41,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return keep_rows(docs, first.select("first._k", "first._sig"))
 
 
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group the document with the smallest id; null ids come last.
+
+    Documents are linked as by ``drop_near_copies``, and where their 5-word shingles are 0.8 similar.
+    """
+    node = F.xxhash64("_k", "_sig").alias("node")
+    found = cut(simhash_groups(docs).select("doc_id", "fingerprint", "component_id", "_k", "_sig", node))
+    group = ["component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")]
+    hub = found.groupBy(*group).agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
+    same = F.col("found.component_id").eqNullSafe(F.col("hub.component_id")) & F.when(F.col("found.component_id").isNull(), F.col("fingerprint")).eqNullSafe(F.col("alone"))
+    copies = found.alias("found").join(hub.alias("hub"), same).select(F.col("node").alias("a"), "b")
+    similar = jaccard_links(docs.select(*row_key(), "text").select(node, "text"))
+    roots = components(copies.union(similar)).select("node", "root")
+    first = (
+        found.join(roots, "node", "left")
+        .groupBy(F.coalesce("root", "node").alias("group"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "_k", "_sig")).alias("first"))
+    )
+    return keep_rows(docs, first.select("first._k", "first._sig"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: the rows of the files, read in order, follow the target weights."""
     mixed = mix(docs, carry=True)
@@ -54,7 +76,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
-    ("simhash_near_dedup", drop_near_copies),
+    ("simhash_near_dedup", drop_similar),
     ("mixing", mix_sources),
     ("sentencepiece", encode),
 ]
