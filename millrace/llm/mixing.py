@@ -2,8 +2,9 @@
 
 Each source's documents, in a seeded order, are cut into blocks of ``block_bytes``. With a share a of A in all, block k
 of a source is released at floor(k A / a) and due at ceil((k + 1) A / a); earliest deadline first gives each block a
-slot within its window, so that after any number of slots every source is less than one block from its target. The
-schedule repeats after A slots, so one period, made on the driver, places every block in closed form. When a source has
+slot within its window, so that after any number of slots every source is less than one block from its target. Shares
+are the target weights themselves, as whole numbers in exact proportion. The schedule repeats after A slots, so one
+period, or as much of it as the phase lasts, is made on the driver (a few numbers a block) and places every block. When a source has
 run out, the others go on with their shares of what they make up together: a new phase. No document is dropped.
 """
 
@@ -11,6 +12,8 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from fractions import Fraction
+from math import gcd, lcm
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +22,8 @@ from pyspark.sql import Window
 from .common import row_key, text_of
 
 CHUNK_BITS = 10
+#: A deadline past this is of no account.
+FAR = 2**61
 
 
 def shares(targets: dict, resolution: int = 1000) -> dict:
@@ -32,20 +37,34 @@ def shares(targets: dict, resolution: int = 1000) -> dict:
     return out
 
 
-def period(share: dict) -> dict:
-    """Slots of the blocks of each key in one period of sum(share) slots: earliest deadline first among released blocks."""
+def exact(targets: dict) -> dict:
+    """Whole numbers in the proportion of the targets, each taken as the decimal number it prints as."""
+    part = {k: Fraction(str(v)) for k, v in targets.items() if v > 0}
+    scale = lcm(*(x.denominator for x in part.values()))
+    whole = {k: int(x * scale) for k, x in part.items()}
+    return {k: n // gcd(*whole.values()) for k, n in whole.items()}
+
+
+def period(share: dict, left: dict | None = None) -> dict:
+    """Slots of the blocks of each key in one period of sum(share) slots: earliest deadline first among released blocks.
+
+    With ``left``, only up to the slot at which the first key has had so many blocks.
+    """
     whole = sum(share.values())
     slots = {k: [] for k in share}
     waiting = [(0, -(-whole // a), -a, str(k), k) for k, a in share.items()]
     heapq.heapify(waiting)
     ready: list[tuple] = []
-    for t in range(whole):
+    t = -1
+    while (t := t + 1) < whole:
         while waiting and waiting[0][0] <= t:
             _, due, a, name, k = heapq.heappop(waiting)
             heapq.heappush(ready, (due, a, name, k))
         due, a, name, k = heapq.heappop(ready)
         assert due > t
         slots[k].append(t)
+        if left and len(slots[k]) == left[k]:
+            break
         if (j := len(slots[k])) < -a:
             heapq.heappush(waiting, (j * whole // -a, -(-(j + 1) * whole // -a), a, name, k))
     return slots
@@ -57,8 +76,9 @@ def phases(blocks: dict, share: dict) -> list[dict]:
     left = {k: n for k, n in blocks.items() if n > 0}
     while left:
         now = {k: share[k] for k in left}
-        whole, slots = sum(now.values()), period(now)
-        length = 1 + min((n - 1) // now[k] * whole + slots[k][(n - 1) % now[k]] for k, n in left.items())
+        whole, slots = sum(now.values()), period(now, left)
+        ends = [(n - 1) // now[k] * whole + slots[k][(n - 1) % now[k]] for k, n in left.items() if (n - 1) % now[k] < len(slots[k])]
+        length = 1 + min(ends)
         took = {k: length // whole * now[k] + bisect_left(slots[k], length % whole) for k in left}
         out.append({"start": start, "whole": whole, "of": {k: (now[k], slots[k], done[k], done[k] + took[k]) for k in left}})
         for k, n in took.items():
@@ -113,11 +133,17 @@ def mix(
     else:
         named = {"" if k is None else f"={k}": float(w) for k, w in targets.items() if w > 0}
         wanted = {k: named.get(k, min(named.values(), default=1.0)) for k in totals}
-    plan = phases({k: -(-b // block_bytes) for k, b in totals.items()}, shares(wanted)) if totals else []
+    plan = phases({k: -(-b // block_bytes) for k, b in totals.items()}, exact(wanted)) if totals else []
     spark = docs.sparkSession
+    rows = []
+    for i, p in enumerate(plan):
+        for k, (a, slots, first, last) in p["of"].items():
+            if last > first:
+                n, whole = len(slots), p["whole"]
+                due = [min(-(-(j + 1) * whole // a), FAR) for j in range(n)]
+                rows.append((k, i, p["start"], whole if n == a and last - first > n else 0, n, slots, [j * whole // a for j in range(n)], due, first, last))
     spans = spark.createDataFrame(
-        [(k, i, p["start"], p["whole"], a, slots, first, last) for i, p in enumerate(plan) for k, (a, slots, first, last) in p["of"].items() if last > first],
-        "_src string, phase int, start long, whole long, share long, slots array<int>, first long, last long",
+        rows, "_src string, phase int, start long, whole long, cycle long, slots array<long>, released array<long>, due array<long>, first long, last long"
     )  # at most max_sources phases of max_sources rows
     chunks = Window.partitionBy("_src").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = light.select("_src", "_chunk", F.coalesce(F.sum("bytes").over(chunks), F.lit(0)).alias("offset"))  # at most 2**CHUNK_BITS rows a source
@@ -125,7 +151,11 @@ def mix(
     ran = base.withColumn("_before", F.sum("_size").over(within) - F.col("_size")).join(F.broadcast(offsets), ["_src", "_chunk"])
     placed = ran.withColumn("_at", F.col("offset") + F.col("_before")).withColumn("block", F.floor(F.col("_at") / F.lit(block_bytes)).cast("long"))
     k = F.col("block") - F.col("first")
-    slot = F.col("start") + F.expr("(block - first) div share") * F.col("whole") + F.element_at("slots", (k % F.col("share") + 1).cast("int"))
+    turns = F.col("start") + F.expr("(block - first) div cycle") * F.col("whole")
+
+    def at(column: str):
+        return (turns + F.element_at(column, (k % F.col("cycle") + 1).cast("int"))).cast("long")
+
     return (
         placed.join(F.broadcast(spans.withColumnRenamed("_src", "_s")), (F.col("_src") == F.col("_s")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("last")))
         .select(
@@ -133,9 +163,9 @@ def mix(
             "source",
             "phase",
             "block",
-            (F.col("start") + F.floor(k * F.col("whole") / F.col("share"))).cast("long").alias("release"),
-            (F.col("start") + F.ceil((k + 1) * F.col("whole") / F.col("share"))).cast("long").alias("deadline"),
-            slot.cast("long").alias("slot"),
+            at("released").alias("release"),
+            at("due").alias("deadline"),
+            at("slots").alias("slot"),
             (F.col("_at") - F.col("block") * block_bytes).cast("long").alias("slot_pos"),
             *(["row"] if carry else []),
         )

@@ -87,3 +87,16 @@ def test_limits(spark):
     many = spark.createDataFrame([(i, "x", "en", f"s{i}", 1) for i in range(5)], cases.SCHEMA)
     with pytest.raises(ValueError):
         mix(many, max_sources=4)
+
+
+@pytest.mark.parametrize("targets", [{f"s{i}": i + 1 for i in range(20)}, {"s0": 0.7, "s1": 0.2996, "s2": 0.0004}, {f"s{i}": (i + 3) ** 0.5 for i in range(7)}])
+def test_less_than_a_block_from_the_targets(spark, targets):
+    """From the targets themselves, over thousands of slots; whole shares of 1000 were off by more."""
+    rows = [(i * 20_000 + j, "x", "en", k, 1) for i, (k, w) in enumerate(targets.items()) for j in range(max(1, int(9000 * w / sum(targets.values()))))]
+    got = [r for r in check(spark.createDataFrame(rows, cases.SCHEMA), targets=targets, block_bytes=1) if r.phase == 0]
+    assert len(got) > 2000
+    done, total = dict.fromkeys(targets, 0), sum(targets.values())
+    for t, r in enumerate(sorted(got, key=lambda r: r.slot), 1):
+        assert r.slot == t - 1
+        done[r.source] += 1
+        assert all(abs(done[k] - t * w / total) < 1 for k, w in targets.items())
