@@ -12,10 +12,14 @@ from pyspark.sql import Window
 
 
 def shared_dir(spark: SparkSession) -> None:
-    """Make sure that a checkpoint folder is set: the cluster's own, else (tests only) a local one."""
+    """Make sure that a checkpoint folder is set: the cluster's own, else, on a local master only, a temporary one."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
+    if sc.getCheckpointDir() is not None:
+        return
+    where = sc.getConf().get("spark.checkpoint.dir")
+    if not where and not sc.isLocal():
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="millrace-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -39,6 +43,11 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def small(df: DataFrame, most: int = 250_000) -> DataFrame:
+    """``df``, marked for broadcast if it has at most ``most`` rows; for narrow tables. Beyond that Spark shuffles."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

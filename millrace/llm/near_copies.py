@@ -1,23 +1,31 @@
-"""Pairs of texts whose sets of word shingles have a Jaccard similarity of 0.8 or more, by an exact prefix filter.
+"""Texts whose sets of word shingles have a Jaccard similarity of 0.8 or more, by an exact prefix filter.
 
-In any one order of all shingles, two such sets share one among the first fifth (and one) of each. The order is by hash,
-with the shingles that are common in a bounded sample last, so that stock phrases seldom make candidates. A pair must
-share about half of these first ones, since the rest can't make up for fewer; what is left is held against each other
-by whole sets. Shingles are taken for equal where their 64-bit hashes are.
+In any one order of all shingles, two such sets share one among the first fifth (and one) of each. Rare shingles come
+first: how often each is met is counted over all texts in a table of hashed cells, so that stock phrases come last and
+seldom make candidates. Each text is first held against one text of each group that shares a shingle; what that links
+is one component, and only pairs of different components are then taken from a group. So a group of copies costs its
+texts, not its pairs, and no link between components is lost. Shingles are taken for equal where their 64-bit hashes are.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from .common import cut, text_of
+from .common import components, cut, small, text_of
 
 #: The similarity as a fraction.
 OVER, UNDER = 4, 5
-MAX_COMMON = 100_000
+#: Cells of the counting table: as many as a quarter of the words, within these powers of two; so many are a page.
+LEAST_BITS, MOST_BITS, PAGE_BITS = 16, 24, 12
+#: Rows of a frame that goes back to the JVM.
+ROWS = 100_000
 
 
 def shingles(text: str, words: int = 5) -> np.ndarray:
@@ -27,50 +35,146 @@ def shingles(text: str, words: int = 5) -> np.ndarray:
     parts = text.encode("utf-8", "surrogatepass").lower().split()
     if not parts:
         return np.zeros(0, np.int64)
-    spans = [b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))]
-    return np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in spans], np.uint64).view(np.int64))
+    joined, size = b" ".join(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+    n = max(1, len(parts) - words + 1)
+    ends = np.cumsum(size + 1) - 1
+    first, past = (ends - size)[:n].tolist(), ends[len(parts) - n :].tolist()
+    hash_of = xxhash.xxh64_intdigest
+    return np.unique(np.array([hash_of(joined[a:b], 42) for a, b in zip(first, past)], np.uint64).view(np.int64))
 
 
-def _sets(words: int):
+def prefix_length(n: int) -> int:
+    return n - -(-OVER * n // UNDER) + 1 if n else 0
+
+
+def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _partial_counts(words: int, bits: int):
     def run(frames):
+        """Of a task, how many of its texts have a shingle of each cell."""
+        counts = np.zeros(1 << bits, np.uint16)
         for frame in frames:
-            yield pd.DataFrame({"node": frame["node"], "shingles": [shingles(t, words) for t in frame["text"]]})
+            for text in frame["text"]:
+                at = _cells(shingles(text, words), bits)
+                counts[at] = np.minimum(counts[at], 65_534) + 1
+        for page, part in enumerate(counts.reshape(-1, 1 << PAGE_BITS)):
+            if part.any():
+                yield pd.DataFrame({"page": [page], "body": [zlib.compress(part.tobytes(), 1)]})
 
     return run
 
 
-def _prefixes(words: int, common: np.ndarray):
+def _page_levels(frames):
+    """The tasks' counts of each page added up, as half powers of two."""
+    total: dict[int, np.ndarray] = {}
+    for frame in frames:
+        for page, body in zip(frame["page"], frame["body"]):
+            part = np.frombuffer(zlib.decompress(body), np.uint16).astype(np.int64)
+            total[page] = total[page] + part if page in total else part
+    for page, n in total.items():
+        yield pd.DataFrame({"page": [page], "body": [np.round(2 * np.log2(n + 1)).astype(np.uint8).tobytes()]})
+
+
+def frequencies(rows: DataFrame, words: int = 5) -> np.ndarray:
+    """A level for each cell of shingle hashes: the more texts have a shingle of the cell, the higher.
+
+    At most 2**MOST_BITS bytes, whatever the number of texts; it orders shingles and decides nothing else.
+    """
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(chars / 24 + 1))))
+    out = np.zeros((1 << bits - PAGE_BITS, 1 << PAGE_BITS), np.uint8)
+    partial = rows.select("text").mapInPandas(_partial_counts(words, bits), "page int, body binary")
+    for r in partial.repartition("page").mapInPandas(_page_levels, "page int, body binary").toLocalIterator():
+        out[r["page"]] = np.frombuffer(r["body"], np.uint8)
+    return out.ravel()
+
+
+def _prefixes(words: int, shared):
     def run(frames):
+        levels, out, size = shared.value, [], 0
+        bits = len(levels).bit_length() - 1
         for frame in frames:
-            out = []
             for node, text in zip(frame["node"], frame["text"]):
                 own = shingles(text, words)
-                late = np.isin(own, common)
-                n = len(own)
-                first = np.concatenate((own[~late], own[late]))[: n - -(-OVER * n // UNDER) + 1] if n else own
-                out.append((np.full(len(first), node), first, np.full(len(first), n), np.arange(len(first))))
-            if out:
-                yield pd.DataFrame({c: np.concatenate([o[i] for o in out]) for i, c in enumerate(("node", "h", "n", "pos"))})
+                first = own[np.argsort(levels[_cells(own, bits)], kind="stable")][: prefix_length(len(own))]
+                out.append((np.full(len(first), node), first, np.full(len(first), len(own))))
+                size += len(first)
+                if size >= ROWS:
+                    yield _framed(out)
+                    out, size = [], 0
+        if size:
+            yield _framed(out)
 
     return run
 
 
-def jaccard_links(rows: DataFrame, words: int = 5) -> DataFrame:
-    """From rows (node long, text): all pairs (a, b) of nodes, a < b, that are 0.8 similar. Texts without words have none."""
+def _framed(parts) -> pd.DataFrame:
+    return pd.DataFrame({c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(("node", "h", "n"))})
+
+
+def _sets(words: int):
+    def run(frames):
+        for frame in frames:
+            for i in range(0, len(frame), 500):
+                part = frame.iloc[i : i + 500]
+                yield pd.DataFrame({"node": part["node"], "shingles": [shingles(t, words) for t in part["text"]]})
+
+    return run
+
+
+def _sizes_fit(n: Column, m: Column) -> Column:
+    return (UNDER * n >= OVER * m) & (UNDER * m >= OVER * n)
+
+
+def _similar(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Those pairs (a, b) of nodes whose whole sets are similar."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = cut(rows.join(small(nodes), "node", "left_semi").mapInPandas(_sets(words), "node long, shingles array<long>").dropDuplicates(["node"]))
+    one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
+    both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
+    return both.where((OVER + UNDER) * F.col("shared") >= OVER * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of groups with their component; groups within one component are left out."""
+    named = members.join(labels, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("label"))
+    group = Window.partitionBy("h")
+    return named.withColumns({"_low": F.min("label").over(group), "_high": F.max("label").over(group)}).where("_low < _high").drop("_low", "_high")
+
+
+def similar_components(rows: DataFrame, known: DataFrame, words: int = 5) -> DataFrame:
+    """From rows (node long, text) and links (a, b) of nodes that are known: the components (node, root) of the known
+    links and of all pairs of texts that are 0.8 similar; nodes without links are left out.
+
+    Rows of one node have one text; repeated ones do no harm. Texts without words are similar to none.
+    """
     rows = rows.select("node", text_of().alias("text"))
-    some = rows.where("pmod(node, 16) = 0").limit(20_000).mapInPandas(_sets(words), "node long, shingles array<long>")
-    often = some.select("node", F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c >= 5")
-    common = np.array([r["h"] for r in often.orderBy(F.desc("c"), "h").limit(MAX_COMMON).collect()], np.int64)
-    found = rows.mapInPandas(_prefixes(words, common), "node long, h long, n long, pos long")
-    groups = found.groupBy("h").agg(F.collect_list(F.struct("node", "n", "pos")).alias("g")).where("size(g) > 1")
-    pairs = groups.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y"))
-    near = f"x.node < y.node and {UNDER} * x.n >= {OVER} * y.n and {UNDER} * y.n >= {OVER} * x.n"
-    shared = pairs.where(near).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
+    shared = rows.sparkSession.sparkContext.broadcast(frequencies(rows, words))
+    found = rows.mapInPandas(_prefixes(words, shared), "node long, h long, n long")
+    group = Window.partitionBy("h")
+    members = cut(found.withColumns({"_low": F.min("node").over(group), "_high": F.max("node").over(group)}).where("_low < _high").select("h", "node", "n").distinct())
+    shared.destroy()
+    links = cut(known.select("a", "b"))
+    labels = cut(components(links))
+    # One text of each group against the others: the least, then others by a hash that differs from group to group.
+    for turn in (F.col("node"), F.xxhash64("node", "h")):
+        left = cut(_labelled(members, labels))
+        if left.isEmpty():
+            return labels
+        hub = F.min(F.struct(turn.alias("_t"), "node", "n", "label")).over(group)
+        tried = left.withColumn("hub", hub).where((F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("n"), F.col("hub.n")))
+        more = cut(_similar(rows, cut(tried.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()), words))
+        if not more.isEmpty():
+            links = cut(links.union(more))
+            labels = cut(components(links))
+    left = cut(_labelled(members, labels))
+    x, y = left.alias("x"), left.alias("y")
+    pairs = x.join(y, "h").where((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit(F.col("x.n"), F.col("y.n")))
+    shared_n = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
     # What isn't shared among the prefixes lies past the end of the one that ends first, so the rest of that set bounds it.
     rest = f"greatest(({OVER} * n + {UNDER - 1}) div {UNDER}, ({OVER} * m + {UNDER - 1}) div {UNDER}) - 1"
-    close = cut(shared.where(f"{OVER + UNDER} * (c + {rest}) >= {OVER} * (n + m)").select("a", "b"))
-    nodes = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
-    sets = cut(rows.join(nodes, "node", "left_semi").mapInPandas(_sets(words), "node long, shingles array<long>").dropDuplicates(["node"]))
-    one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
-    both = close.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
-    return both.where(f"{OVER + UNDER} * shared >= {OVER} * (size(of_a) + size(of_b))").select("a", "b")
+    close = cut(shared_n.where(f"{OVER + UNDER} * (c + {rest}) >= {OVER} * (n + m)").select("a", "b"))
+    more = cut(_similar(rows, close, words))
+    return labels if more.isEmpty() else components(links.union(more))

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from millrace.llm.near_copies import jaccard_links, shingles
+from millrace.llm.near_copies import shingles, similar_components
 from millrace.llm.simhash import fingerprint
 
 from . import cases
@@ -26,10 +26,48 @@ def brute(some):
     return {(i, j) for j in range(len(sets)) for i in range(j) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))}
 
 
+def joined(pairs):
+    """Node -> smallest node of its component."""
+    root = {i: i for p in pairs for i in p}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    return {i: find(i) for i in root}
+
+
+def found(rows, known):
+    return {r.node: r.root for r in similar_components(rows, known).collect()}
+
+
 def test_all_pairs(spark):
     some = texts()
     rows = spark.createDataFrame(list(enumerate([*some, "", None])), "node long, text string").repartition(3)
-    assert {tuple(r) for r in jaccard_links(rows).collect()} == brute(some)
+    none = spark.createDataFrame([], "a long, b long")
+    assert found(rows, none) == joined(brute(some))
+    known = [(0, 7), (7, 9), (len(some), len(some) + 1)]
+    assert found(rows, spark.createDataFrame(known, "a long, b long")) == joined(brute(some) | set(known))
+
+
+def test_copies_that_drift(spark):
+    """A group in which most pairs are not similar, but neighbours are; and texts that share rare passages only."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(150)]
+    some = []
+    for _ in range(60):
+        words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+        some.append(" ".join(words))
+    passage = " ".join(f"p{i}" for i in range(60))
+    some += [passage + " " + " ".join(f"q{i}x{k}" for k in range(90)) for i in range(40)]
+    rng.shuffle(some)
+    rows = spark.createDataFrame(list(enumerate(some)), "node long, text string").repartition(3)
+    want = joined(brute(some))
+    assert len(want) >= 50 and found(rows, spark.createDataFrame([], "a long, b long")) == want
 
 
 def test_stage_drops_similar_documents(spark):
