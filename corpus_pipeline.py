@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, cut, discard, keep_rows, row_key, store, table
+from millrace.llm.common import cut, discard, keep_rows, row_key, store, table
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.mixing import mix
-from millrace.llm.near_copies import jaccard_links
+from millrace.llm.near_copies import similar_components
 from millrace.llm.pieces import encode_pieces
 from millrace.llm.queries import PIECES
 from millrace.llm.simhash import simhash_groups
@@ -52,8 +52,7 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     hub = found.groupBy(*group).agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
     same = F.col("found.component_id").eqNullSafe(F.col("hub.component_id")) & F.when(F.col("found.component_id").isNull(), F.col("fingerprint")).eqNullSafe(F.col("alone"))
     copies = found.alias("found").join(hub.alias("hub"), same).select(F.col("node").alias("a"), "b")
-    similar = jaccard_links(docs.select(*row_key(), "text").select(node, "text"))
-    roots = components(copies.union(similar)).select("node", "root")
+    roots = similar_components(docs.select(*row_key(), "text").select(node, "text"), copies)
     first = (
         found.join(roots, "node", "left")
         .groupBy(F.coalesce("root", "node").alias("group"))
