@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from functools import reduce
@@ -11,6 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
+_worker: dict = {"of": None, "state": {}}
+
+
+def worker_state(of: str) -> dict:
+    """What a Python worker keeps from task to task for one operator. Another operator's goes first: workers are used again."""
+    if _worker["of"] != of:
+        _worker.update(of=of, state={})
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return _worker["state"]
+
+
 def shared_dir(spark: SparkSession) -> None:
     """Make sure that a checkpoint folder is set: the cluster's own, else, on a local master only, a temporary one."""
     sc = spark.sparkContext

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import components, cut, small, text_of
+from .common import components, cut, small, text_of, worker_state
 
 #: The similarity as a fraction.
 OVER, UNDER = 4, 5
@@ -54,6 +54,7 @@ def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
 def _partial_counts(words: int, bits: int):
     def run(frames):
         """Of a task, how many of its texts have a shingle of each cell."""
+        worker_state("near copies")
         counts = np.zeros(1 << bits, np.uint16)
         for frame in frames:
             for text in frame["text"]:
@@ -93,6 +94,7 @@ def frequencies(rows: DataFrame, words: int = 5) -> np.ndarray:
 
 def _prefixes(words: int, shared):
     def run(frames):
+        worker_state("near copies")
         levels, out, size = shared.value, [], 0
         bits = len(levels).bit_length() - 1
         for frame in frames:

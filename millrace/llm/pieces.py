@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import text_of, worker_state
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -27,18 +27,16 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 END = "﷐"
 
 #: Characters of distinct words that are indexed at once.
-PART = 300_000
+PART = 100_000
 WIDE = 64
 #: Characters, of so many bits, that make the first sorting key.
 HEAD, RANK_BITS = 4, 15
 
-_state: dict = {}
-
 
 class Pieces:
     """A SentencePiece BPE model with byte fallback, read from its file by the library; encoding is done here."""
 
-    def __init__(self, path: str, max_pairs: int = 500_000):
+    def __init__(self, path: str, max_pairs: int = 250_000):
         import sentencepiece
 
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -240,7 +238,7 @@ class Pieces:
             at += 1 if i == self.unknown else len(self.pieces[i])
         return np.array(out, self.dtype).tobytes()
 
-    def encode(self, texts: list[str], cache: dict[str, bytes] | None = None, max_cache: int = 500_000) -> list[np.ndarray]:
+    def encode(self, texts: list[str], cache: dict[str, bytes] | None = None, max_cache: int = 250_000) -> list[np.ndarray]:
         """Ids of each text; ``cache`` keeps words from call to call."""
         cache = {} if cache is None else cache
         split = [WORD.findall((SPACE if self.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in texts]
@@ -264,12 +262,13 @@ class Pieces:
 
 def _pieces(path: str) -> tuple[Pieces, dict]:
     """The worker's model and its cache of words."""
-    if _state.get("path") != path:
-        _state.update(path=path, pieces=Pieces(path), cache={})
-    return _state["pieces"], _state["cache"]
+    state = worker_state(f"pieces {path}")
+    if not state:
+        state.update(pieces=Pieces(path), cache={})
+    return state["pieces"], state["cache"]
 
 
-def _parts(texts: list[str], most: int = 2_000_000):
+def _parts(texts: list[str], most: int = 500_000):
     """Stretches of a batch of at most ``most`` characters, or one text."""
     at, size = 0, 0
     for i, t in enumerate(texts):

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, text_of
+from .common import cut, text_of, worker_state
 
 WORDS = re.compile(r"\w+").findall
 START = "\x02"
@@ -90,8 +90,8 @@ def learned(doc_id: Column) -> Column:
 
 
 def _grams(batches):
-    """Per hundred texts: occurrences and texts by class of bigrams and, without a context, of words and stems."""
-    for frame in (f.iloc[i : i + 100] for f in batches for i in range(0, len(f), 100)):
+    """Per thirty texts: occurrences and texts by class of bigrams and, without a context, of words and stems."""
+    for frame in (f.iloc[i : i + 30] for f in batches for i in range(0, len(f), 30)):
         n, texts = Counter(), Counter()
         for text, y in zip(frame["text"], frame["y"]):
             words = WORDS(text.lower())
@@ -217,6 +217,7 @@ def score_column(docs: DataFrame, model: Model | None, text_col: str = "text") -
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: pd.Series) -> pd.Series:
+        worker_state("toxicity")
         return texts.map(shared.value.score).astype("float64")
 
     return score(text_of(text_col))
