@@ -8,6 +8,8 @@ import tempfile
 import uuid
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -112,11 +114,27 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a > b").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _roots(frames):
+    """Of all edges given, each node with the smallest node it is joined to."""
+    edges = np.concatenate([f[["a", "b"]].to_numpy(np.int64) for f in frames] or [np.zeros((0, 2), np.int64)])
+    nodes, at = np.unique(edges, return_inverse=True)
+    label, (i, j) = np.arange(len(nodes)), at.reshape(-1, 2).T
+    while len(i):
+        x, y = label[i], label[j]
+        open_ = x != y
+        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := label[label], label):
+            label = up
+    yield pd.DataFrame({"node": nodes, "root": nodes[label]})
+
+
+def components(edges: DataFrame, max_rounds: int = 100, one_task: int = 250_000) -> DataFrame:
     """Connected components of an edge table (a long, b long): (node, root), the root being the smallest node.
 
     Alternating large-star and small-star steps; every round is cut to the shared folder. Only sums leave the cluster.
-    Loops and repeated edges do no harm; nulls are dropped; an empty table gives an empty result.
+    Once at most ``one_task`` edges are left (4 MB) one task ends it. Loops and repeated edges do no harm; nulls are
+    dropped; an empty table gives an empty result.
     """
     cur = cut(
         edges.where("a is not null and b is not null and a <> b")
@@ -129,8 +147,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     seen = mark(cur)
     for _ in range(max_rounds):
-        if not seen[0]:
-            break
+        if seen[0] <= one_task:
+            return cur.coalesce(1).mapInPandas(_roots, "node long, root long")
         cur = cut(_star(_star(cur, True), False))
         now = mark(cur)
         if now == seen:

@@ -130,6 +130,21 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return (UNDER * n >= OVER * m) & (UNDER * m >= OVER * n)
 
 
+def _close(counted: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of n and m shingles that can be similar, c of their first ones being shared.
+
+    What isn't shared among these lies past the end of the ones that end first, so the rest of that set bounds it.
+    """
+    rest = f"greatest(({OVER} * n + {UNDER - 1}) div {UNDER}, ({OVER} * m + {UNDER - 1}) div {UNDER}) - 1"
+    return cut(counted.where(f"{OVER + UNDER} * (c + {rest}) >= {OVER} * (n + m)").select("a", "b"))
+
+
+def _counted(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    one = members.select("h", F.col("node").alias("a"), "n")
+    two = members.select("h", F.col("node").alias("b"), F.col("n").alias("m"))
+    return pairs.join(one, "a").join(two, ["b", "h"]).groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"))
+
+
 def _similar(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """Those pairs (a, b) of nodes whose whole sets are similar."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -167,16 +182,14 @@ def similar_components(rows: DataFrame, known: DataFrame, words: int = 5) -> Dat
             return labels
         hub = F.min(F.struct(turn.alias("_t"), "node", "n", "label")).over(group)
         tried = left.withColumn("hub", hub).where((F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("n"), F.col("hub.n")))
-        more = cut(_similar(rows, cut(tried.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()), words))
+        pairs = tried.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()
+        more = cut(_similar(rows, _close(_counted(pairs, members)), words))
         if not more.isEmpty():
             links = cut(links.union(more))
             labels = cut(components(links))
     left = cut(_labelled(members, labels))
     x, y = left.alias("x"), left.alias("y")
     pairs = x.join(y, "h").where((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit(F.col("x.n"), F.col("y.n")))
-    shared_n = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
-    # What isn't shared among the prefixes lies past the end of the one that ends first, so the rest of that set bounds it.
-    rest = f"greatest(({OVER} * n + {UNDER - 1}) div {UNDER}, ({OVER} * m + {UNDER - 1}) div {UNDER}) - 1"
-    close = cut(shared_n.where(f"{OVER + UNDER} * (c + {rest}) >= {OVER} * (n + m)").select("a", "b"))
-    more = cut(_similar(rows, close, words))
+    counted = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
+    more = cut(_similar(rows, _close(counted), words))
     return labels if more.isEmpty() else components(links.union(more))
