@@ -2,9 +2,9 @@
 
 In any one order of all shingles, two such sets share one among the first fifth (and one) of each. Rare shingles come
 first: how often each is met is counted over all texts in a table of hashed cells, so that stock phrases come last and
-seldom make candidates. Each text is first held against one text of each group that shares a shingle; what that links
-is one component, and only pairs of different components are then taken from a group. So a group of copies costs its
-texts, not its pairs, and no link between components is lost. Shingles are taken for equal where their 64-bit hashes are.
+seldom make candidates. Each text is first held against one text of each group that shares a shingle, the one that meets
+most others; what that links is one component, and only pairs of different components are then taken from a group. So a
+group of copies costs about its texts, not its pairs, and no link between components is lost. Shingles are taken for equal where their 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ OVER, UNDER = 4, 5
 LEAST_BITS, MOST_BITS, PAGE_BITS = 16, 24, 12
 #: Rows of a frame that goes back to the JVM.
 ROWS = 100_000
+#: Groups of more texts than FEW are dealt to tasks by blocks, together BLOCK texts at most; COLUMNS shingles at a time.
+FEW, BLOCK, COLUMNS = 32, 2_000, 4_096
 
 
 def shingles(text: str, words: int = 5) -> np.ndarray:
@@ -155,10 +157,57 @@ def _similar(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of groups with their component; groups within one component are left out."""
-    named = members.join(labels, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("label"))
+    """Members of groups with their component and the group's size; groups within one component are left out."""
+    named = members.join(labels, "node", "left").select("h", "node", "n", "pop", F.coalesce("root", "node").alias("label"))
     group = Window.partitionBy("h")
-    return named.withColumns({"_low": F.min("label").over(group), "_high": F.max("label").over(group)}).where("_low < _high").drop("_low", "_high")
+    sized = named.withColumns({"_low": F.min("label").over(group), "_high": F.max("label").over(group), "m": F.count("*").over(group)})
+    return sized.where("_low < _high").drop("_low", "_high")
+
+
+def _block_pairs(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of two blocks of a large group, the pairs of different components that can be similar, by what their prefixes share.
+
+    Only texts outside the largest component are held against all; shingles are taken a bounded number at a time.
+    """
+    frame = frame.drop_duplicates("node")
+    node, n, label, own = (frame[c].to_numpy(np.int64) for c in ("node", "n", "label", "own"))
+    names, sizes = np.unique(label, return_counts=True)
+    few = np.nonzero(label != names[sizes.argmax()])[0]
+    if not len(few):
+        return pd.DataFrame({"a": node[:0], "b": node[:0]})
+    size = frame["hs"].map(len).to_numpy(np.int64)
+    _, column = np.unique(np.concatenate(frame["hs"].to_numpy()), return_inverse=True)
+    row = np.repeat(np.arange(len(node)), size)
+    shared = np.zeros((len(few), len(node)), np.float32)
+    for first in range(0, int(column.max()) + 1, COLUMNS):
+        here = (column >= first) & (column < first + COLUMNS)
+        has = np.zeros((len(node), COLUMNS), np.float32)
+        has[row[here], column[here] - first] = 1
+        shared += has[few] @ has.T
+    x, y = n[few][:, None], n[None, :]
+    rest = np.maximum(-(-OVER * x // UNDER), -(-OVER * y // UNDER)) - 1
+    good = (shared > 0) & (label[few][:, None] != label[None, :]) & (UNDER * x >= OVER * y) & (UNDER * y >= OVER * x)
+    good &= (OVER + UNDER) * (shared.astype(np.int64) + rest) >= OVER * (x + y)
+    i, j = np.nonzero(good)
+    i = few[i]
+    return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}).drop_duplicates()
+
+
+def _left_pairs(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a group and can be similar.
+
+    Groups of up to FEW are joined with themselves; larger ones go to tasks by pairs of blocks, with their prefixes.
+    """
+    x, y = left.where(F.col("m") <= FEW).alias("x"), left.where(F.col("m") <= FEW).alias("y")
+    pairs = x.join(y, "h").where((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit(F.col("x.n"), F.col("y.n")))
+    light = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    prefixes = left.groupBy("node").agg(F.collect_list("h").alias("hs"))  # of one text: no longer than its prefix
+    blocks = F.ceil(2 * F.col("m") / BLOCK).cast("int")
+    own, other = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    large = left.where(F.col("m") > FEW).join(prefixes, "node").select("h", "node", "n", "label", "hs", own.alias("own"), other.alias("other"))
+    dealt = large.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")}).drop("other")
+    heavy = dealt.groupBy("h", "one", "two").applyInPandas(_block_pairs, "a long, b long")
+    return light.union(heavy).distinct()
 
 
 def similar_components(rows: DataFrame, known: DataFrame, words: int = 5) -> DataFrame:
@@ -171,25 +220,22 @@ def similar_components(rows: DataFrame, known: DataFrame, words: int = 5) -> Dat
     shared = rows.sparkSession.sparkContext.broadcast(frequencies(rows, words))
     found = rows.mapInPandas(_prefixes(words, shared), "node long, h long, n long")
     group = Window.partitionBy("h")
-    members = cut(found.withColumns({"_low": F.min("node").over(group), "_high": F.max("node").over(group)}).where("_low < _high").select("h", "node", "n").distinct())
+    met = {"_low": F.min("node").over(group), "_high": F.max("node").over(group), "_m": F.count("*").over(group)}
+    members = cut(found.distinct().withColumns(met).where("_low < _high").select("h", "node", "n", "_m"))
     shared.destroy()
+    # A text that meets many others is in the middle of its copies.
+    popular = members.groupBy("node").agg(F.sum("_m").alias("pop"))
+    members = cut(members.join(popular, "node").select("h", "node", "n", "pop"))
     links = cut(known.select("a", "b"))
     labels = cut(components(links))
-    # One text of each group against the others: the least, then others by a hash that differs from group to group.
-    for turn in (F.col("node"), F.xxhash64("node", "h")):
-        left = cut(_labelled(members, labels))
-        if left.isEmpty():
-            return labels
-        hub = F.min(F.struct(turn.alias("_t"), "node", "n", "label")).over(group)
-        tried = left.withColumn("hub", hub).where((F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("n"), F.col("hub.n")))
-        pairs = tried.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()
-        more = cut(_similar(rows, _close(_counted(pairs, members)), words))
-        if not more.isEmpty():
-            links = cut(links.union(more))
-            labels = cut(components(links))
     left = cut(_labelled(members, labels))
-    x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, "h").where((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit(F.col("x.n"), F.col("y.n")))
-    counted = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
-    more = cut(_similar(rows, _close(counted), words))
+    hub = F.max(F.struct("pop", "node", "n", "label")).over(group)
+    tried = left.withColumn("hub", hub).where((F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("n"), F.col("hub.n")))
+    pairs = tried.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()
+    more = cut(_similar(rows, _close(_counted(pairs, members)), words))
+    if not more.isEmpty():
+        links = links.union(more)
+        labels = cut(components(links))
+        left = cut(_labelled(members, labels))
+    more = cut(_similar(rows, _close(_counted(_left_pairs(left), members)), words))
     return labels if more.isEmpty() else components(links.union(more))

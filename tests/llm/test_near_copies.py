@@ -1,6 +1,8 @@
 import random
 
 import corpus_pipeline
+import pytest
+from millrace.llm import near_copies
 from millrace.llm.near_copies import shingles, similar_components
 from millrace.llm.simhash import fingerprint
 
@@ -54,8 +56,11 @@ def test_all_pairs(spark):
     assert found(rows, spark.createDataFrame(known, "a long, b long")) == joined(brute(some) | set(known))
 
 
-def test_copies_that_drift(spark):
+@pytest.mark.parametrize("few, block, columns", [(32, 2000, 4096), (2, 40, 7)])
+def test_copies_that_drift(spark, monkeypatch, few, block, columns):
     """A group in which most pairs are not similar, but neighbours are; and texts that share rare passages only."""
+    for name, value in (("FEW", few), ("BLOCK", block), ("COLUMNS", columns)):
+        monkeypatch.setattr(near_copies, name, value)
     rng = random.Random(3)
     words = [f"w{i}" for i in range(150)]
     some = []
