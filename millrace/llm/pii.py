@@ -1,10 +1,12 @@
 """Personal data by patterns and information-theoretic sanitisation, in DataFrame operations only.
 
 Base spans are matches of four patterns. Beyond them, co-occurrence over the whole corpus tells how strongly a term
-near a protected entity gives it away: with n(e), n(t), n(e, t) the numbers of documents with the entity, with the
-term, and with the term near the entity, of N, the term discloses the share PMI(e, t) / IC(e) of what the entity tells,
+gives a protected entity away: with n(e), n(t), n(e, t) the numbers of documents with the entity, with the term, and
+with both, of N, the term discloses the share PMI(e, t) / IC(e) of what the entity tells,
 PMI = log(n(e, t) N / (n(e) n(t))) and IC = -log(n(e) / N). Terms at or over a threshold become spans in the documents
-that have the entity, to be generalised or removed. An estimate needs ``min_texts`` different texts behind it.
+that have the entity, to be generalised or removed. Entities are single values and what several have in common: the
+domain of an address, the network of an IP, the issuer of a card, the area of a number. An estimate needs ``min_texts``
+different texts behind it; they are counted by hash, in 64 classes, so that they can be added up before the shuffle.
 
 The patterns below are the given ones, rewritten so that Java's engine neither recurses nor backtracks: groups repeat
 possessively, and a match starts where a run does or where the last match ended.
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, text_of
+from .common import cut, row_key, small, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -28,11 +30,15 @@ TERM = r"[\p{L}\p{N}]{3,}"
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def _found(text: Column, pattern: Column | str) -> Column:
-    """Spans (start, end, value) of all matches: what lies between matches, and the matches, give the offsets."""
-    given = F.lit(pattern) if isinstance(pattern, str) else pattern
+def _found(text: Column, pattern: str, chunk: int = 512) -> Column:
+    """Spans (start, end, value) of all matches: what lies between matches, and the matches, give the offsets.
+
+    Arrays grow a chunk of matches at a time, so that a text of many matches isn't copied once for each.
+    """
+    given = F.lit(pattern)
     between = F.transform(F.split(text, given, -1), F.length)
     both = F.zip_with(between, F.regexp_extract_all(text, given, F.lit(0)), lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
+    none = F.array().cast(SPAN)
 
     def step(so_far: Column, x: Column) -> Column:
         start = so_far["at"] + x["gap"]
@@ -40,8 +46,16 @@ def _found(text: Column, pattern: Column | str) -> Column:
         more = F.concat(so_far["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))))
         return F.when(x["m"].isNull(), so_far).otherwise(F.struct(end.alias("at"), more.alias("out")))
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    return F.aggregate(both, begin, step, lambda x: x["out"])
+    def chunks(all_: Column) -> Column:
+        def take(so_far: Column, first: Column) -> Column:
+            part = F.aggregate(F.slice(all_, first, F.lit(chunk)), F.struct(so_far["at"].alias("at"), none.alias("out")), step)
+            return F.struct(part["at"].alias("at"), F.concat(so_far["out"], part["out"]).alias("out"))
+
+        begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(chunk)), begin, take, lambda x: x["out"])
+
+    # One evaluation of the array for all of its chunks.
+    return F.element_at(F.transform(F.array(both), chunks), 1)
 
 
 def _luhn(digits: Column) -> Column:
@@ -79,86 +93,95 @@ def _joined(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.concat(F.lit(f"{kind}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
 
 
-def _entity(kind: str, value: Column) -> Column:
-    """One name for an entity however it is written."""
-    plain = F.regexp_replace(value, "[^0-9]", "") if kind in ("card", "phone") else F.lower(value)
-    return F.concat(F.lit(f"{kind}:"), plain)
-
-
-def _near(text: Column, start: Column, end: Column, reach: int) -> Column:
-    """Distinct terms within ``reach`` characters of a span; words cut off at the rim don't count."""
-    low = F.greatest(start - reach, F.lit(0))
-    left, right = F.substring(text, low + 1, start - low), F.substring(text, end + 1, F.lit(reach))
-    left = F.when(low > 0, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
-    right = F.when(F.length(right) == reach, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" ", left, right)), F.lit(TERM), F.lit(0)))
+def _entities(kind: str, value: Column) -> list[Column]:
+    """Names of an entity, however it is written, and of the class it belongs to."""
+    if kind == "email":
+        names = {"email": F.lower(value), "domain": F.lower(F.substring_index(value, "@", -1))}
+    elif kind == "ip":
+        names = {"ip": value, "network": F.substring_index(value, ".", 2)}
+    else:
+        digits = F.regexp_replace(value, "[^0-9]", "")
+        names = {kind: digits, **({"issuer": F.substring(digits, 1, 6)} if kind == "card" else {"area": F.substring(digits, 1, 5)})}
+    return [F.concat(F.lit(f"{k}:"), v) for k, v in names.items()]
 
 
-def _surroundings(kind: str, reach: int) -> Column:
-    """The entities of one kind, each with the terms near it."""
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    def one(s: Column) -> Column:
-        return F.struct(_entity(kind, s["value"]).alias("entity"), _near(F.col("text"), s["start"], s["end"], reach).alias("terms"))
 
-    return F.transform(f"_{kind}", one)
+def _texts(least: int) -> Column:
+    """Whether rows have at least ``least`` different texts, by the classes of their hashes (aggregate)."""
+    return F.expr(f"bit_count(bit_or(shiftleft(1L, cast(pmod(body, 64) as int)))) >= {least}")
 
 
-def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: float) -> DataFrame | None:
-    """(entity, term, disclosure) at or over the threshold; None if no term has the support."""
-    hits = rows.where(F.size("near") > 0).select("_k", "_sig", "body", F.explode("near").alias("x")).select("_k", "_sig", "body", "x.entity", "x.terms")
-    entities = hits.select("entity", "_k", "_sig", "body").distinct().groupBy("entity").agg(F.count("*").alias("n_e"), F.count_distinct("body").alias("texts"))
-    strong = cut(entities.where(F.col("texts") >= min_texts).drop("texts"))
+def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: float) -> tuple[DataFrame, DataFrame] | None:
+    """(entity, term, disclosure) at or over the threshold, and the pairs of the documents; None if no term has the support."""
+    hits = rows.where(F.size("entities") > 0).select("_k", "_sig", "body", "terms", F.explode("entities").alias("entity"))
+    strong = hits.groupBy("entity").agg(F.count("*").alias("n_e"), _texts(min_texts).alias("ok")).where("ok").select("entity", "n_e")
+    strong = cut(strong)
     if strong.isEmpty():
         return None
-    pairs = hits.join(strong, "entity").select("entity", "n_e", "_k", "_sig", "body", F.explode("terms").alias("term")).distinct()
-    able = pairs.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"), F.count_distinct("body").alias("texts"))
-    able = cut(able.where(F.col("texts") >= min_texts).drop("texts"))
+    pairs = hits.join(small(strong), "entity").select("entity", "n_e", "_k", "_sig", "body", F.explode("terms").alias("term"))
+    able = pairs.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"), _texts(min_texts).alias("ok")).where("ok").drop("ok")
+    able = cut(able)
     if able.isEmpty():
         return None
     wanted = able.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(_terms(F.col("text"))).alias("term"))
     counts = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi")
     n = F.lit(float(rows.count()))
     information = -F.log(F.col("n_e") / n)
     share = F.log(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) / information
     # An entity in every document tells nothing and can't be disclosed.
-    return able.join(counts, "term").withColumn("disclosure", F.when(information > 0, share)).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
+    found = able.join(counts, "term").withColumn("disclosure", F.when(information > 0, share)).where(F.col("disclosure") >= threshold)
+    return cut(found.select("entity", "term", "disclosure")), pairs
+
+
+def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_texts: int = 5, threshold: float = 0.8) -> DataFrame | None:
+    """(entity, term, disclosure) of the terms at or over the threshold; None if no term has the support."""
+    base, rows = _spans(docs, id_col, text_col)
+    found = _disclosing(base, cut(rows), min_texts, threshold)
+    return found and found[0]
 
 
-def personal_data(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", reach: int = 200, min_texts: int = 5, threshold: float = 0.8
-) -> DataFrame:
+def _spans(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The texts by row key; and by row key the base spans and, of texts that have some, entities and terms."""
+    base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *row_key(id_col, text_col))
+    first = base.withColumns({f"_{k}": base_spans(F.col("text"), k) for k in KINDS})
+
+    def names(kind: str, i: int) -> Column:
+        return F.transform(f"_{kind}", lambda s: _entities(kind, s["value"])[i])
+
+    named = [names(k, i) for k in KINDS for i in (0, 1)]
+    entities = F.array_distinct(F.concat(*named))
+    slim = [F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(f"_{k}") for k in KINDS]
+    some = F.greatest(*[F.size(f"_{k}") for k in KINDS]) > 0
+    extra = [F.when(some, x).alias(c) for c, x in (("entities", entities), ("terms", _terms(F.col("text"))), ("body", F.xxhash64("text")))]
+    return base, first.select("doc_id", "_k", "_sig", *slim, *extra)
+
+
+def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_texts: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term, _k, _sig.
 
     spans: kind:start:end (code points, end exclusive), comma-joined, the base kinds in the order of ``KINDS`` and then
     ``term``, each by start. Null and empty texts have none. A term that overlaps a base span is no span of its own.
     Repeated rows stay and each counts as a document; null ids too. Other columns are not read; no rows in, no rows out.
     """
-    text = text_of(text_col)
-    key = row_key(id_col, text_col)
-    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *key)
-    first = base.withColumns({f"_{k}": base_spans(F.col("text"), k) for k in KINDS})
-    near = F.concat(*[_surroundings(k, reach) for k in KINDS])
-    slim = [F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(f"_{k}") for k in KINDS]
-    rows = cut(first.select("doc_id", "_k", "_sig", F.when(F.size(near) > 0, F.xxhash64("text")).alias("body"), *slim, near.alias("near")))
+    base, rows = _spans(docs, id_col, text_col)
+    rows = cut(rows)
     found = _disclosing(base, rows, min_texts, threshold)
-    if found is None:
-        terms = None
-    else:
-        named = rows.where(F.size("near") > 0).select("_k", "_sig", F.explode("near.entity").alias("entity")).distinct()
-        listed = named.join(found, "entity").groupBy("_k", "_sig").agg(F.sort_array(F.collect_set("term")).alias("terms"))  # terms near one document's entities
-        marked = F.filter("_all", lambda s: s["start"] >= 0)
-        suspects = base.where(F.col("text").rlike("|".join(PATTERNS[k] for k in KINDS))).dropDuplicates(["_k", "_sig"])
-        at = suspects.join(listed, ["_k", "_sig"]).select(
-            "_k", "_sig", _found(F.col("text"), F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("terms", "|"), F.lit(r")(?![\p{L}\p{N}])"))).alias("_all")
-        )
-        terms = at.select("_k", "_sig", F.transform(marked, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("_term"))
-    if terms is None:
-        rows = rows.withColumn("_term", F.array().cast("array<struct<start:int,end:int>>"))
+    span = "array<struct<start:int,end:int>>"
+    if found is None or found[0].isEmpty():
+        rows = rows.withColumn("_term", F.array().cast(span))
     else:
+        disclosing, pairs = found
+        listed = cut(pairs.join(small(disclosing), ["entity", "term"]).select("_k", "_sig", "term").distinct())
+        suspects = base.join(small(listed.select("_k", "_sig").distinct()), ["_k", "_sig"], "left_semi").dropDuplicates(["_k", "_sig"])
+        at = suspects.select("_k", "_sig", F.explode(_found(F.col("text"), TERM)).alias("x")).select("_k", "_sig", F.lower("x.value").alias("term"), "x.start", "x.end")
+        marks = at.join(small(listed), ["_k", "_sig", "term"]).groupBy("_k", "_sig").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_term"))  # of one text
         known = F.concat(*[F.col(f"_{k}") for k in KINDS])
         free = F.filter("_term", lambda t: ~F.exists(known, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        rows = rows.join(terms, ["_k", "_sig"], "left").withColumn("_term", F.coalesce(free, F.array().cast("array<struct<start:int,end:int>>")))
+        rows = rows.drop("terms", "entities").join(marks, ["_k", "_sig"], "left").withColumn("_term", F.coalesce(free, F.array().cast(span)))
     base_list = F.concat(*[_joined(k, F.col(f"_{k}")) for k in KINDS])
     return rows.select(
         "doc_id",

@@ -1,8 +1,9 @@
 import hashlib
+import math
 import random
 import re
 
-from millrace.llm.pii import personal_data, sanitise
+from millrace.llm.pii import disclosing_terms, personal_data, sanitise
 
 from . import cases
 
@@ -62,7 +63,7 @@ def test_terms_that_give_entities_away(spark):
         if i % 25 == 0:
             words[5:5] = ["kraken", "ann@x.org", "common"]
         elif i % 3 == 0:
-            words[5:5] = ["common", f"bob{i}@x.org"]
+            words[5:5] = ["common", f"bob{i}@y{i}.org"]
         rows.append((i, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("term")] for r in check(docs)}
@@ -74,6 +75,41 @@ def test_terms_that_give_entities_away(spark):
     assert "kraken" not in str([r.text for r in sanitise(docs, remove=True).collect()])
 
 
+def test_shares_by_hand(spark):
+    """Disclosure of single values and of classes against counts made one by one."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(200):
+        words = [f"w{rng.randrange(40)}" for _ in range(12)]
+        if i % 4 == 0:
+            words += [f"n{i}@corp{i % 3}.org", rng.choice(["harbour", "harbour", "w1"])]
+        if i % 10 == 0:
+            words += [f"10.{i % 2}.0.{i % 250}", "rack"]
+        rows.append((i, " ".join(words)))
+    want = {}
+    entities = {i: {f"domain:{m.split('@')[1]}" for m in re.findall(BASE["email"].replace("(", "(?:"), t)} | {"email:" + m for m in re.findall(BASE["email"].replace("(", "(?:"), t)} for i, t in rows}
+    for i, t in rows:
+        for m in re.findall(r"(?<!\S)10\.\d\.0\.\d+", t):
+            entities[i] |= {f"ip:{m}", "network:" + ".".join(m.split(".")[:2])}
+    terms = {i: {w.lower() for w in re.findall(r"[^\W_]{3,}", t)} for i, t in rows}
+    for e in set().union(*entities.values()):
+        having = [i for i in entities if e in entities[i]]
+        for t in set().union(*(terms[i] for i in having)):
+            both, n_t = sum(t in terms[i] for i in having), sum(t in x for x in terms.values())
+            share = math.log(both * len(rows) / (len(having) * n_t)) / -math.log(len(having) / len(rows))
+            if both > 12 and share >= 0.5:  # enough for any split of hashes
+                want[e, t] = share
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term): r.disclosure for r in disclosing_terms(docs, min_texts=5, threshold=0.5).collect()}
+    assert want and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+
+
+def test_many_matches(spark):
+    text = " ".join(f"user{i}@host{i % 50}.example.org" for i in range(100_000))
+    row = personal_data(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).where("doc_id = 1").first()
+    assert row.n_email == 100_000 and (row.n_email, 0, 0, 0, row.base_sha256) == brute(text)[0]
+
+
 def test_copies_are_no_evidence(spark):
     docs = spark.createDataFrame([(i, "kraken ann@x.org common") for i in range(20)] + [(i, "some other text") for i in range(20, 90)], "doc_id long, text string")
     assert sum(r.n_term for r in personal_data(docs).collect()) == 0
