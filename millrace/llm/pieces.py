@@ -171,14 +171,45 @@ class Pieces:
         return start, start + size, piece
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as the bytes of an array, indexed PART characters (or one word) at a time."""
+        """Ids of each word as the bytes of an array, indexed PART characters at a time; longer words in stretches."""
         out, at, size = [], 0, 0
         for i, w in enumerate(words):
             if i > at and size + len(w) >= PART:
                 out += self._encode_part(words[at:i])
                 at, size = i, 0
             size += len(w) + 1
-        return out + (self._encode_part(words[at:]) if words else [])
+            if len(w) >= PART:
+                out.append(self._encode_long(w))
+                at, size = i + 1, 0
+        return out + (self._encode_part(words[at:]) if at < len(words) else [])
+
+    def _encode_long(self, word: str) -> bytes:
+        """The same for one word of any length: PART characters, and what a piece reaches over them, are indexed at once.
+
+        Edges that end at a position start before it, so all of them are known when the position is used.
+        """
+        n = len(word)
+        last, back = np.full(n + 1, -1, np.int32), np.zeros(n + 1, np.int32)
+        last[0] = self.unknown + 1
+        for a in range(0, n, PART):
+            code = np.frombuffer(word[a : a + PART + self.longest].encode("utf-32-le", "surrogatepass"), np.uint32)
+            text = self.char_rank[code]
+            start, end, piece = self.edges(text)
+            lone = np.nonzero(text == 0)[0]
+            start, end, piece = np.concatenate((start, lone)), np.concatenate((end, lone + 1)), np.concatenate((piece, np.full(len(lone), self.unknown)))
+            order = np.argsort(end, kind="stable")
+            order = order[start[order] < PART]
+            here, whence = last[a : a + len(code) + 1].tolist(), back[a : a + len(code) + 1].tolist()
+            for s, e, t in zip(start[order].tolist(), end[order].tolist(), piece[order].tolist()):
+                if here[s] >= 0 and here[e] < 0 and self._pair(here[s], t):
+                    here[e], whence[e] = t, a + s
+            last[a : a + len(code) + 1], back[a : a + len(code) + 1] = here, whence
+        ids, at = [], n
+        while at > 0:
+            ids.append(int(last[at]))
+            at = int(back[at])
+        ids.reverse()
+        return self._with_bytes(word, ids) if self.unknown in ids else np.array(ids, self.dtype).tobytes()
 
     def _encode_part(self, words: list[str]) -> list[bytes]:
         joined = END.join(words) + END

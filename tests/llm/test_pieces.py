@@ -48,3 +48,17 @@ def test_documents_and_back(spark, sf):
 
 def test_empty(spark):
     assert encode_pieces(cases.empty(spark), PATH).count() == 0
+
+
+def test_words_longer_than_a_part(monkeypatch):
+    """Text without spaces, in stretches: the library's ids, also where pieces reach over the ends of stretches."""
+    from millrace.llm import pieces
+
+    rng = random.Random(5)
+    text = "".join(rng.choice(["the", "ing", "ation", "日本", "é", "0", "==", "x", "\u1234", "🙂"]) for _ in range(9000))
+    lib = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for part in (500, 777, 100_000):
+        monkeypatch.setattr(pieces, "PART", part)
+        p = pieces.Pieces(PATH)
+        got = p.encode([text, "a b " + text + " c", text[:part], text[: part - 1]])
+        assert [g.tolist() for g in got] == [lib.encode(t) for t in (text, "a b " + text + " c", text[:part], text[: part - 1])]
