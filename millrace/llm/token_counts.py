@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import text_of, worker_state
 
 #: The pattern by which the byte-level pre-tokenizer splits text. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -26,13 +26,10 @@ NUMBER = "0-9²³¹¼-¾"
 BLANK = r"\t-\r \x85\xa0"
 SETTLED = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 
-#: Texts with any of these are encoded whole by the library.
+#: Texts with any of these are split by the library's own pre-tokenizer, which has its Unicode tables.
 UNSETTLED = "[\x1c-\x1fͰ-\U0010ffff]"
 
-PART = 2_000_000
-
-_state: dict = {}
-
+PART = 1_000_000
 
 def _byte_chars() -> dict[str, int]:
     """Of the byte-level alphabet: printable stand-in -> byte (printable Latin-1 stands for itself, the rest from U+0100 on)."""
@@ -62,8 +59,9 @@ def frequent_lengths(path: str, max_entries: int = 200_000) -> dict[str, int]:
 
 def _counter(path: str, most: int, table: dict[str, int]):
     """The worker's counting function for lists of texts, made once in each Python worker."""
-    if _state.get("for") == (path, most, id(table)):
-        return _state["count"]
+    state = worker_state(f"tokens {path} {most} {id(table)}")
+    if state:
+        return state["count"]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
     from tokenizers import Tokenizer
 
@@ -71,20 +69,26 @@ def _counter(path: str, most: int, table: dict[str, int]):
     tok.no_truncation()
     tok.no_padding()
     added = [t.content for t in tok.get_added_tokens_decoder().values()]
-    split, beyond, cache = re.compile(SETTLED).findall, re.compile(UNSETTLED).search, dict(table)
+    if tok.normalizer is not None:
+        raise ValueError("a tokenizer that normalizes its text: not supported")
+    settled, beyond, cache = re.compile(SETTLED).findall, re.compile(UNSETTLED).search, {}
+
+    def split(text: str) -> list[str]:
+        if beyond(text):
+            return [text[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(text)]
+        return settled(text)
 
     def part(texts: list[str]) -> list[int]:
-        whole = [bool(beyond(t)) or any(a in t for a in added) for t in texts]
+        whole = [any(a in t for a in added) for t in texts]
         tokens = [[t] if w else split(t) for t, w in zip(texts, whole)]
         found = set().union(*(x for x, w in zip(tokens, whole) if not w))
-        missing = [t for t in found if t not in cache]
-        if len(cache) + len(missing) > most + len(table):
+        missing = [t for t in found if t not in table and t not in cache]
+        if len(cache) + len(missing) > most:
             cache.clear()
-            cache.update(table)
-            missing = [t for t in found if t not in cache]
+            missing = [t for t in found if t not in table]
         cache.update(zip(missing, (len(e.ids) for e in tok.encode_batch_fast(missing, add_special_tokens=False))))
-        get = cache.__getitem__
-        return [len(tok.encode(x[0], add_special_tokens=False).ids) if w else sum(map(get, x)) for x, w in zip(tokens, whole)]
+        here = {t: table[t] if t in table else cache[t] for t in found}.__getitem__
+        return [len(tok.encode(x[0], add_special_tokens=False).ids) if w else sum(map(here, x)) for x, w in zip(tokens, whole)]
 
     def count(texts: list[str]) -> list[int]:
         out, at, size = [], 0, 0
@@ -95,12 +99,12 @@ def _counter(path: str, most: int, table: dict[str, int]):
             size += len(t)
         return out + part(texts[at:])
 
-    _state.update({"for": (path, most, id(table)), "count": count})
+    state["count"] = count
     return count
 
 
 def token_counts(
-    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, frequent: dict[str, int] | None = None, cache: int = 800_000
+    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, frequent: dict[str, int] | None = None, cache: int = 400_000
 ) -> DataFrame:
     """Per row: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 

@@ -34,3 +34,20 @@ def test_table_is_bounded():
 
 def test_empty(spark):
     assert token_counts(cases.empty(spark), PATH).count() == 0
+
+
+def test_all_scripts(spark):
+    """Letters, digits, marks and blanks of any script, among them those that Unicode versions class differently."""
+    import random
+
+    rng = random.Random(3)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x370, 0x600), (0x900, 0xE00), (0x1C80, 0x1CFF), (0x2000, 0x2070), (0x3040, 0x3100), (0x4E00, 0x9FFF), (0xAC00, 0xD7A0), (0x10D40, 0x10D90), (0x1F300, 0x1FAFF), (0x1C, 0x20)]
+    texts = []
+    for _ in range(400):
+        text = ""
+        for _ in range(rng.randrange(1, 12)):
+            low, high = rng.choice(ranges)
+            text += "".join(chr(rng.randrange(low, high)) for _ in range(rng.randrange(1, 5))) + rng.choice(["", " ", "  ", "\n", "’s ", "—"])
+        texts.append(text)
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), cache=50)
