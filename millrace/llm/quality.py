@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, store, text_of
+from .common import cut, discard, row_key, small, store, text_of
 
 ORDER = 5
 #: The largest symbol is a code point and one. An n-gram's key is two numbers: the low BITS bits of its symbols in a row
@@ -309,10 +309,10 @@ def probabilities(codes: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -
     return lower
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = 1_000_000) -> DataFrame:
-    """Ids that some label calls good and none bad: all of them, up to ``max_trusted`` by hash of the id."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids that some label calls good and none bad."""
     one = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
-    return one.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
+    return one.select("doc_id")
 
 
 def _train():
@@ -321,21 +321,21 @@ def _train():
 
 
 def quality(
-    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.98, max_trusted: int = 1_000_000
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.98
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, n_chars, perplexity (a character), threshold, keep.
 
-    threshold: the ``quantile`` of the perplexities, in the language, of the fifth of the trusted documents that the
+    threshold: the (approximate) ``quantile`` of the perplexities, in the language, of the fifth of the trusted documents that the
     model is not made of; of all of that fifth where the language (null is one) has none in it. Null and empty texts have no perplexity and aren't kept. Without trusted text
     nothing is known: no perplexity, no threshold, and all documents with text are kept. Repeated rows and null ids
     stay. Other columns are not read. No rows in, no rows out. ``docs`` that aren't read from files are stored first,
     since they are read twice and must be dealt the same both times.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), *row_key(id_col, text_col))
+    stored = None
     if not docs.inputFiles() or "Exchange" in base._jdf.queryExecution().executedPlan().toString():
-        base, _ = store(base)
-    good = cut(trusted_ids(labels, max_trusted))
-    trusted = F.broadcast(good)  # at most max_trusted ids
+        base, stored = store(base)
+    trusted = small(cut(trusted_ids(labels)))
     known_texts = base.join(trusted, "doc_id")
     counts = cut(known_texts.where(_train()).select("text").mapInPandas(_counts, "code long, high long, n long").groupBy(*KEY).agg(F.sum("n").alias("n")))
     if counts.isEmpty():
@@ -351,6 +351,8 @@ def quality(
     packed = base.mapInPandas(_packed, PACKED)
     sums = packed.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(_summed(shards), "doc_id long, _k long, _sig long, lang string, n_chars long, log_p double")
     scored = cut(sums.select("doc_id", "lang", "n_chars", F.when(F.col("n_chars") > 0, F.exp(-F.col("log_p") / F.col("n_chars"))).alias("perplexity")))
+    if stored:
+        discard(docs.sparkSession, stored)
     mark = F.percentile_approx("perplexity", quantile, 10_000)
     sure = scored.join(trusted, "doc_id")
     held = sure.where(~_train())
