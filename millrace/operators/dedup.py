@@ -22,18 +22,21 @@ BANDS, ROWS = 8, 16
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """A lineage cut in the shared checkpoint folder; a local one is set only where the session has none."""
+    """A lineage cut in the shared checkpoint folder; a temporary one is set on a local master only, where there is none."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
+        where = sc.getConf().get("spark.checkpoint.dir")
+        if not where and sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="millrace-"))
     return df.checkpoint(eager=True)
 
 
 def dedup_exact(df: DataFrame, text_col: str = "problem", order_col: str = "_rid") -> DataFrame:
     """Of rows with the same hash key the first by ``order_col``, which must be unique. Nulls count as empty text."""
-    keyed = df.withColumn("_key", F.sha2(hash_key(F.coalesce(F.col(text_col), F.lit(""))), 256))
-    first = keyed.groupBy("_key").agg(F.min(order_col).alias(order_col))
-    return keyed.join(first, ["_key", order_col], "left_semi").select(*df.columns)
+    key = F.sha2(hash_key(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    first = df.groupBy(key.alias("_key")).agg(F.min(order_col).alias(order_col)).select(order_col)
+    return df.join(first, order_col, "left_semi").select(*df.columns)
 
 
 def decontaminate_exact(train: DataFrame, test: DataFrame, text_col: str = "problem", test_col: str | None = None) -> DataFrame:

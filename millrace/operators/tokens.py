@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.functions.text import col, strip
+from millrace.functions.text import col, let, strip
+from millrace.operators.dedup import _cut as cut
 
 # The label that losses skip, and least lengths.
 IGNORED = -100
@@ -31,6 +32,7 @@ def pack(df: DataFrame, ids_col: str = "ids", order_col: str = "_rid", length: i
     cut at its chunks' borders; only pieces move.
     """
     sized = df.select(F.col(order_col).alias("o"), F.concat(F.coalesce(F.col(ids_col), F.array().cast("array<int>")), F.array(F.lit(eos))).alias("ids")).withColumn("n", F.size("ids").cast("long"))
+    sized = cut(sized)  # read twice; making the tokens costs more than writing them
     found = sized.agg(F.sum("n").alias("total"), F.percentile_approx("o", [i / buckets for i in range(1, buckets)], 100 * buckets).alias("cuts")).first()
     total, cuts = found["total"] or 0, F.array(*[F.lit(c) for c in sorted(set(found["cuts"] or [0]))])
     ranged = sized.withColumn("bucket", F.size(F.filter(cuts, lambda c: c < F.col("o"))))  # ranges with about as many rows
@@ -70,10 +72,15 @@ def mask_prompt(df: DataFrame, tokenize: Tokenizer = whitespace_tokens, length:
     Sequences under ten tokens, and those that have no label left, are dropped.
     """
     ids = F.slice(F.concat(tokenize(F.concat("prompt", "response")), F.array(F.lit(eos))), 1, length)
-    out = has_pair(df).withColumns({"input_ids": ids, "_p": F.size(tokenize(F.col("prompt")))}).where(F.size("input_ids") >= SFT_LEAST)
-    labels = F.col("input_ids") if train_on_prompt else F.transform("input_ids", lambda x, i: F.when(i < F.col("_p"), F.lit(IGNORED)).otherwise(x))
-    out = out.withColumns({"labels": labels, "attention_mask": F.array_repeat(F.lit(1), F.size("input_ids"))}).drop("_p")
-    return out.where(F.exists("labels", lambda x: x != IGNORED))
+
+    def row(x: Column) -> Column:
+        labels = x["ids"] if train_on_prompt else F.transform(x["ids"], lambda t, i: F.when(i < x["p"], F.lit(IGNORED)).otherwise(t))
+        return F.struct(x["ids"].alias("input_ids"), labels.alias("labels"), F.array_repeat(F.lit(1), F.size(x["ids"])).alias("attention_mask"))
+
+    # One array of at most one row: tokens are made once, whatever looks at them.
+    made = let(F.struct(ids.alias("ids"), F.size(tokenize(F.col("prompt"))).alias("p")), row)
+    good = F.filter(F.array(made), lambda r: (F.size(r["input_ids"]) >= SFT_LEAST) & F.exists(r["labels"], lambda t: t != IGNORED))
+    return has_pair(df).select("*", F.inline(good))
 
 
 def pad_batches(df: DataFrame, batch_col: str, order_col: str, pad: int = 0) -> DataFrame:

@@ -82,6 +82,8 @@ def read_source(spark: SparkSession, name: str, root: str, domain: str = "cp", m
 
     ``max_rows``: the first rows by ``order_col``; 0 or None: all.
     """
+    if max_rows and not order_col:
+        raise ValueError("max_rows needs order_col: without an order the first rows differ from run to run")
     source = SOURCES[domain].get(name)
     if source is None:
         log.warning("unknown source %s", name)
@@ -89,7 +91,7 @@ def read_source(spark: SparkSession, name: str, root: str, domain: str = "cp", m
     for form in ("parquet", "json"):
         try:
             df = spark.read.format(form).load(source.folder(root))
-            return head(df, max_rows, order_col) if order_col else df.limit(max_rows) if max_rows else df
+            return head(df, max_rows, order_col) if max_rows else df
         except AnalysisException as e:
             problem = e
     log.error("source %s can't be read: %s", name, problem)
@@ -111,8 +113,10 @@ def union(frames: Sequence[DataFrame]) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, tolerant: bool = False, max_rows: int | None = None, order_col: str | None = None) -> DataFrame:
     """JSON lines; blank lines are skipped. A broken line fails the job, or is skipped if ``tolerant``."""
+    if max_rows and not order_col:
+        raise ValueError("max_rows needs order_col: without an order the first rows differ from run to run")
     df = spark.read.schema(schema).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST").json(path)
-    return head(df, max_rows, order_col) if order_col else df.limit(max_rows) if max_rows else df
+    return head(df, max_rows, order_col) if max_rows else df
 
 
 def written(spark: SparkSession, path: str) -> bool:
