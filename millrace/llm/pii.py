@@ -30,10 +30,15 @@ TERM = r"[\p{L}\p{N}]{3,}"
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def _found(text: Column, pattern: str, chunk: int = 512) -> Column:
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _found(text: Column, pattern: str, chunks: tuple[int, ...] = (4096, 64)) -> Column:
     """Spans (start, end, value) of all matches: what lies between matches, and the matches, give the offsets.
 
-    Arrays grow a chunk of matches at a time, so that a text of many matches isn't copied once for each.
+    Arrays grow by chunks of chunks of matches, so that a text of many matches isn't copied once for each.
     """
     given = F.lit(pattern)
     between = F.transform(F.split(text, given, -1), F.length)
@@ -46,16 +51,18 @@ def _found(text: Column, pattern: str, chunk: int = 512) -> Column:
         more = F.concat(so_far["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))))
         return F.when(x["m"].isNull(), so_far).otherwise(F.struct(end.alias("at"), more.alias("out")))
 
-    def chunks(all_: Column) -> Column:
+    def fold(part: Column, at: Column, sizes: tuple[int, ...]) -> Column:
+        begin = F.struct(at.alias("at"), none.alias("out"))
+        if not sizes:
+            return F.aggregate(part, begin, step)
+
         def take(so_far: Column, first: Column) -> Column:
-            part = F.aggregate(F.slice(all_, first, F.lit(chunk)), F.struct(so_far["at"].alias("at"), none.alias("out")), step)
-            return F.struct(part["at"].alias("at"), F.concat(so_far["out"], part["out"]).alias("out"))
+            inner = fold(F.slice(part, first, F.lit(sizes[0])), so_far["at"], sizes[1:])
+            return _let(inner, lambda r: F.struct(r["at"].alias("at"), F.concat(so_far["out"], r["out"]).alias("out")))
 
-        begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(chunk)), begin, take, lambda x: x["out"])
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(part), F.lit(1)), F.lit(sizes[0])), begin, take)
 
-    # One evaluation of the array for all of its chunks.
-    return F.element_at(F.transform(F.array(both), chunks), 1)
+    return _let(both, lambda all_: fold(all_, F.lit(0), chunks)["out"])
 
 
 def _luhn(digits: Column) -> Column:
