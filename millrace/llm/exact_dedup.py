@@ -25,6 +25,14 @@ from .common import cut, row_key, text_of, union_all
 DROPPED = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: Rows of a batch that are taken at once.
+ROWS = 2_000
+
+
+def _parts(batches):
+    return (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS))
+
+
 def _bodies(column):
     for text in column:
         yield (text.as_py() or "").encode("utf-8", "surrogatepass").translate(None, DROPPED)
@@ -34,7 +42,7 @@ def _describe(block_bytes: int):
     """Per document: digest of the normalised text and its blocks' hashes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             shas, hashes = [], []
             for body in _bodies(batch.column("text")):
                 shas.append(hashlib.sha256(body).hexdigest())
@@ -51,7 +59,7 @@ def _blocks(block_bytes: int):
     """The distinct blocks of each batch with their hashes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             found = {body[i : i + block_bytes] for body in _bodies(batch.column("text")) for i in range(0, len(body), block_bytes)}
             blocks = list(found)
             yield pa.RecordBatch.from_arrays(
@@ -65,7 +73,7 @@ def _located(block_bytes: int):
     """Every block with its document and place; only for blocks whose hashes collide."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             rows = [
                 (k, sig, i // block_bytes, xxhash.xxh64_intdigest(body[i : i + block_bytes]) - 2**63, body[i : i + block_bytes])
                 for k, sig, body in zip(batch.column("_k").to_pylist(), batch.column("_sig").to_pylist(), _bodies(batch.column("text")))
