@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 #: Samples a second at which chroma is taken: enough for pitches up to A7. Rates outside KNOWN_RATES are no audio.
 RATE = 11_025
@@ -306,7 +306,7 @@ def rendered(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "e
     own = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     head = own.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("head")).agg(F.first("v").alias("head_v"))
     is_take = F.col("vec_id") % 5 == 3
-    rows = own.withColumn("head", F.when(is_take, F.col("vec_id") - F.col("vec_id") % every)).join(head, "head", "left")
+    rows = own.withColumn("head", F.when(is_take, F.col("vec_id") - F.col("vec_id") % every)).join(small(head, 20_000), "head", "left")  # a table of that many vectors is some 10 MB
 
     def run(frames):
         for f in frames:
