@@ -27,7 +27,7 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 END = "﷐"
 
 #: Characters of distinct words that are indexed at once.
-PART = 100_000
+PART = 200_000
 WIDE = 64
 #: Characters, of so many bits, that make the first sorting key.
 HEAD, RANK_BITS = 4, 15
@@ -36,7 +36,7 @@ HEAD, RANK_BITS = 4, 15
 class Pieces:
     """A SentencePiece BPE model with byte fallback, read from its file by the library; encoding is done here."""
 
-    def __init__(self, path: str, max_pairs: int = 250_000):
+    def __init__(self, path: str, max_pairs: int = 500_000):
         import sentencepiece
 
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -269,7 +269,7 @@ class Pieces:
             at += 1 if i == self.unknown else len(self.pieces[i])
         return np.array(out, self.dtype).tobytes()
 
-    def encode(self, texts: list[str], cache: dict[str, bytes] | None = None, max_cache: int = 250_000) -> list[np.ndarray]:
+    def encode(self, texts: list[str], cache: dict[str, bytes] | None = None, max_cache: int = 500_000) -> list[np.ndarray]:
         """Ids of each text; ``cache`` keeps words from call to call."""
         cache = {} if cache is None else cache
         split = [WORD.findall((SPACE if self.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in texts]
@@ -299,7 +299,7 @@ def _pieces(path: str) -> tuple[Pieces, dict]:
     return state["pieces"], state["cache"]
 
 
-def _parts(texts: list[str], most: int = 500_000):
+def _parts(texts: list[str], most: int = 1_000_000):
     """Stretches of a batch of at most ``most`` characters, or one text."""
     at, size = 0, 0
     for i, t in enumerate(texts):
