@@ -291,11 +291,11 @@ class Pieces:
         return whole.decode("utf-8", "replace")
 
 
-def _pieces(path: str) -> tuple[Pieces, dict]:
+def _pieces(path: str, cache: int = 500_000) -> tuple[Pieces, dict]:
     """The worker's model and its cache of words."""
-    state = worker_state(f"pieces {path}")
+    state = worker_state(f"pieces {path} {cache}")
     if not state:
-        state.update(pieces=Pieces(path), cache={})
+        state.update(pieces=Pieces(path, cache), cache={})
     return state["pieces"], state["cache"]
 
 
@@ -311,21 +311,22 @@ def _parts(texts: list[str], most: int = 1_000_000):
         yield at, len(texts)
 
 
-def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", cache: int = 500_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_ids, ids (as the library gives them, no begin or end), round_trip.
 
     ``model``: path of a SentencePiece BPE file that every worker can read. round_trip: decoding the ids gives the text
     again (null counts as empty and has no ids; U+2581 in a text decodes to a space). Repeated rows and null ids stay;
-    other columns are not read; no rows in, no rows out. No shuffle: words are encoded within their batch, and workers
+    other columns are not read; no rows in, no rows out. ``cache``: most words, and most pairs of pieces, that a worker
+    keeps; it decides time and memory only. No shuffle: words are encoded within their batch, and workers
     keep a bounded cache of them.
     """
 
     def run(frames):
-        p, cache = _pieces(model)
+        p, known = _pieces(model, cache)
         for frame in frames:
             texts = frame["text"].tolist()
             for a, b in _parts(texts):
-                ids = p.encode(texts[a:b], cache)
+                ids = p.encode(texts[a:b], known, cache)
                 same = [p.decode(i) == t for i, t in zip(ids, texts[a:b])]
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "n_ids": [len(i) for i in ids], "ids": [i.astype(np.int32) for i in ids], "round_trip": same})
 

@@ -48,3 +48,14 @@ def test_repeated_rows_and_nulls(spark):
     assert near.count() == len({c for _, _, c in components([(r[0], r[1]) for r in cases.ODD])})
     assert corpus_pipeline.drop_near_copies(spark, cases.empty(spark), "").isEmpty()
     assert corpus_pipeline.mix_sources(spark, cases.empty(spark), "").isEmpty()
+
+
+def test_odd_rows_in_the_outer_stages(spark, sf):
+    """Nothing of the odd rows is toxic, so all stay, whatever their columns are called; each has its ids."""
+    odd = cases.odd(spark)
+    left = corpus_pipeline.drop_toxic(spark, odd, sf)
+    assert left.columns == odd.columns and left.exceptAll(odd).isEmpty() and left.count() == len(cases.ODD)
+    assert corpus_pipeline.drop_toxic(spark, cases.empty(spark), sf).isEmpty()
+    rows = corpus_pipeline.encode(spark, odd, sf).collect()
+    assert len(rows) == len(cases.ODD) and sum(r.n_ids == 0 for r in rows) == sum(not r[1] for r in cases.ODD)
+    assert corpus_pipeline.encode(spark, cases.empty(spark), sf).isEmpty()
