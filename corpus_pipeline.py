@@ -23,7 +23,11 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below 0.5, by a model learnt from the labelled ones among them."""
+    """Documents with a toxicity score below 0.5, by a model learnt from the labelled ones among them.
+
+    Null and empty texts have the score of no words and stay; so do repeated rows and null ids. Without labelled rows
+    of both classes all stay. Columns are those of ``docs``, whatever their names; no rows in, none out.
+    """
     model = train(docs, table(spark, sf_dir, "labels"))
     return docs.where(score_column(docs, model) < 0.5)
 
@@ -68,8 +72,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document's pieces, and whether they decode to its text."""
-    return encode_pieces(docs, PIECES)
+    """Ids of each document's pieces, and whether they decode to its text.
+
+    Null and empty texts have no ids; repeated rows and null ids stay; other columns are not read; no rows in, none out.
+    """
+    return encode_pieces(docs, PIECES, cache=250_000)  # workers also hold what other stages left
 
 
 STAGES = [
