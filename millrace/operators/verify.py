@@ -25,12 +25,23 @@ from pyspark.sql import functions as F
 from millrace.functions.extract import parses
 
 OUTPUT_MOST = 65_536
-# Words of SQL that make a query, patterns of unittest's report, scores of a run.
+# Words of SQL that make a query, scores of a run.
 SQL_VERBS = re.compile(r"\b(SELECT|INSERT|UPDATE|DELETE|CREATE|WITH)\b", re.IGNORECASE)
-RAN, FAILURES, ERRORS = re.compile(r"Ran (\d+) test"), re.compile(r"failures=(\d+)"), re.compile(r"errors=(\d+)")
 SYNTAX_ERROR, RUNTIME_ERROR, TIMEOUT, RUNS = 0.0, 0.3, 0.5, 1.0
 NO_SQL, SQL_FAILS, SQL_RUNS = 0.0, 0.5, 1.0
-UNITTEST_MAIN = "\n\nimport unittest\nif __name__ == '__main__':\n    unittest.main(verbosity=2)\n"
+# Runs the tests in a module of their own and writes tests run, tests failed and overall success to a descriptor of its own.
+TEST_RUNNER = """
+import os, sys, types, unittest
+fd, write, load, runner = int(sys.argv.pop()), os.write, unittest.defaultTestLoader.loadTestsFromModule, unittest.TextTestRunner
+os.set_inheritable(fd, False)
+module = sys.modules["candidate"] = types.ModuleType("candidate")
+try:
+    exec(compile({source!r}, "candidate.py", "exec", dont_inherit=True), module.__dict__)
+except SystemExit:
+    pass
+result = runner(stream=sys.stderr).run(load(module))
+write(fd, b"%d %d %d" % (result.testsRun, len(result.failures) + len(result.errors), result.wasSuccessful()))
+"""
 
 
 @dataclass
@@ -50,9 +61,13 @@ class Outcome:
     elapsed: float
 
 
-def run_program(code: str, stdin: str = "", limits: Limits | None = None) -> Outcome:
-    """Run Python code on an input. A program that can't start counts as failed."""
+def run_program(code: str, stdin: str = "", limits: Limits | None = None, report: int | None = None) -> Outcome:
+    """Run Python code on an input. A program that can't start counts as failed.
+
+    ``report``: a descriptor that the program inherits; its number is the program's last argument.
+    """
     limits = limits or Limits()
+    more = [] if report is None else [str(report)]
 
     def confine() -> None:
         cpu = int(limits.seconds) + 1
@@ -67,7 +82,7 @@ def run_program(code: str, stdin: str = "", limits: Limits | None = None) -> Out
         path = os.path.join(folder, "main.py")
         with open(path, "w", encoding="utf-8", errors="surrogatepass") as f:
             f.write(code)
-        p = subprocess.Popen([sys.executable, "-I", path], stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, cwd=folder, env={"PATH": os.defpath}, preexec_fn=confine, start_new_session=True)
+        p = subprocess.Popen([sys.executable, "-I", path, *more], pass_fds=tuple(map(int, more)), stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, cwd=folder, env={"PATH": os.defpath}, preexec_fn=confine, start_new_session=True)
         try:
             out, err = p.communicate((stdin or "").encode("utf-8", "replace"), timeout=limits.seconds)
             late = False
@@ -122,17 +137,33 @@ def example_rate(code: str, examples, limits: Limits) -> tuple[float, float]:
     return passed / len(examples), spent / len(examples)
 
 
+def run_tests(code: str, tests: str, limits: Limits) -> tuple[int, int, bool, float]:
+    """Unit tests run and failed, whether all went well, and the time. Without a report nothing ran.
+
+    The counts come from the result object by a pipe, so that what a candidate prints is never read as a report.
+    """
+    end, start = os.pipe()
+    try:
+        os.set_blocking(end, False)
+        spent = run_program(TEST_RUNNER.format(source=f"{code}\n\n{tests}"), "", limits, start)
+        try:
+            said = os.read(end, 100).split()
+        except BlockingIOError:
+            said = []
+    finally:
+        os.close(end)
+        os.close(start)
+    if spent.timed_out or len(said) != 3 or not all(x.isdigit() for x in said):
+        return 0, 0, False, spent.elapsed
+    return int(said[0]), int(said[1]), said[2] == b"1", spent.elapsed
+
+
 def unittest_rate(code: str, tests: str, limits: Limits) -> tuple[float, float]:
-    """Share of unit tests passed, read from unittest's report, and the time."""
+    """Share of unit tests passed and the time; 0 where none ran."""
     if not (tests or "").strip():
         return 0.0, 0.0
-    r = run_program(f"{code}\n\n{tests}{UNITTEST_MAIN}", "", limits)
-    said = r.stderr + r.stdout
-    ran = RAN.search(said)
-    if r.timed_out or not ran or not int(ran[1]):
-        return 0.0, r.elapsed
-    bad = sum(int(m[1]) for p in (FAILURES, ERRORS) if (m := p.search(said)))
-    return max(0.0, (int(ran[1]) - bad) / int(ran[1])), r.elapsed
+    ran, failed, _, spent = run_tests(code, tests, limits)
+    return max(0, ran - failed) / ran if ran else 0.0, spent
 
 
 def python_score(code: str, limits: Limits) -> float:
@@ -199,7 +230,7 @@ def check_programs(candidates: DataFrame, *, code_col: str = "code", examples_co
 
 
 def verified_solution(solutions, examples, tests, seconds: float = 8.0) -> tuple[bool, str | None]:
-    """(keep, solution): the first solution that passes the first three examples, or unit tests by their exit code.
+    """(keep, solution): the first solution that passes the first three examples, or all of its unit tests.
 
     Without either, the record is kept as it is (no solution named); if no solution passes it goes.
     """
@@ -212,7 +243,8 @@ def verified_solution(solutions, examples, tests, seconds: float = 8.0) -> tuple
         if some:
             good = all(normal(run_program(s, _given(x, "input"), Limits(seconds)).stdout) == normal(_given(x, "output")) for x in some[:3])
         else:
-            good = run_program(f"{s}\n\n{tests}{UNITTEST_MAIN}", "", Limits(seconds + 5)).code == 0
+            ran, _, good, _ = run_tests(s, tests, Limits(seconds + 5))
+            good = good and ran > 0
         if good:
             return True, s
     return False, None

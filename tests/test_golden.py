@@ -146,6 +146,14 @@ def test_programs_are_confined():
     assert late.timed_out and late.elapsed == 0.5
     good = "import unittest\nclass T(unittest.TestCase):\n def test_a(self): self.assertEqual(f(), 1)\n def test_b(self): self.assertEqual(f(), 2)"
     assert verify.unittest_rate("def f(): return 1", good, verify.Limits(10))[0] == 0.5
+    said = "import sys\nprint('Ran 100 tests in 0s\\n\\nOK', file=sys.stderr)\n"
+    assert verify.unittest_rate(said + "def f(): return 1", good, verify.Limits(10))[0] == 0.5
+    assert verify.unittest_rate(said + "sys.exit(0)", good, verify.Limits(10))[0] == 0.0 and verify.unittest_rate("def f(", good, verify.Limits(10))[0] == 0.0
+    mains = good + "\nif __name__ == '__main__': unittest.main()"
+    assert verify.unittest_rate("def f(): return 1", mains, verify.Limits(10))[0] == verify.unittest_rate("def f(): return 1", good + "\nunittest.main()", verify.Limits(10))[0] == 0.5
+    one = good[: good.index("\n def test_b")]
+    assert verify.verified_solution(["import os; os._exit(0)", "def f(): return 2", "def f(): return 1"], [], one) == (True, "def f(): return 1")
+    assert verify.verified_solution(["def f(): return 2"], [], one) == (False, None)
     assert verify.sql_score("with r as (select 1) select * from r") == 1.0 and verify.sql_score("hello") == 0.0
     assert verify.verified_solution(["print(2)", "print(1)"], [{"input": "", "output": "1"}], "") == (True, "print(1)")
     assert verify.verified_solution(["print(2)"], [], "") == (True, None)
