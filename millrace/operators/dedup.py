@@ -11,7 +11,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import hash_key, shingles
@@ -21,14 +21,20 @@ PERMUTATIONS = 128
 BANDS, ROWS = 8, 16
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """A lineage cut in the shared checkpoint folder; a temporary one is set on a local master only, where there is none."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one is set on a local master only, where there is none."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         where = sc.getConf().get("spark.checkpoint.dir")
         if not where and sc.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="millrace-"))
+    return sc.getCheckpointDir()
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """A lineage cut in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

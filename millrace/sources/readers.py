@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,13 +89,30 @@ def read_source(spark: SparkSession, name: str, root: str, domain: str = "cp", m
     if source is None:
         log.warning("unknown source %s", name)
         return None
-    for form in ("parquet", "json"):
-        try:
-            df = spark.read.format(form).load(source.folder(root))
-            return head(df, max_rows, order_col) if max_rows else df
-        except AnalysisException as e:
-            problem = e
-    log.error("source %s can't be read: %s", name, problem)
+    path = source.folder(root)
+    form = _format(spark, path)
+    if form is None:
+        log.error("source %s can't be read: no files in %s", name, path)
+        return None
+    try:
+        df = spark.read.format(form).load(path)
+    except (AnalysisException, Py4JJavaError) as e:
+        log.error("source %s can't be read: %s", name, e)
+        return None
+    return head(df, max_rows, order_col) if max_rows else df
+
+
+def _format(spark: SparkSession, path: str) -> str | None:
+    """Parquet if the folder's first file is, else JSON; None without files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return "parquet" if ".parquet" in name else "json"
     return None
 
 
