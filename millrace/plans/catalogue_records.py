@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import extract as E
+from millrace.functions import relevance_values as V
 from millrace.operators import formats, scores, tokens, verify
-from millrace.plans.catalogue import EX_JSON, EX_WANT, MARKS, SOL_JSON, SOL_WANT, made, query, same, shown_examples, sql_clean, sql_cp, sql_first, sql_level, sql_squeezed, sql_strip, table
+from millrace.plans.catalogue import EX_JSON, EX_WANT, MARKS, SOL_JSON, SOL_WANT, made, query, same, shown_examples, sql_any, sql_clean, sql_cp, sql_first, sql_key, sql_level, sql_squeezed, sql_strip, table
 from millrace.plans.corpus import Options, build
 from millrace.sources import normalize as N
 
@@ -318,8 +319,9 @@ def normal_output(spark, sf_dir):
     return made(spark, sf_dir, OUT).select("doc_id", F.md5(E.normal_output("t")).alias("shown"))
 
 
-@query()
+@query(f"SELECT doc_id, doc_id % 7 = 4 AS valid FROM {same(ANSWER)}")
 def valid_python(spark, sf_dir):
+    """Only the number parses: bodies end indented, other answers are prose."""
     return made(spark, sf_dir, ANSWER).select("doc_id", E.valid_python(E.answer_code("t")).alias("valid"))
 
 
@@ -523,11 +525,18 @@ def keep_verified(spark, sf_dir):
     return _of_documents(spark, sf_dir, verify.keep_verified(d, 2.0).select("problem_id", F.array_join("solutions", "|").alias("solutions")), 2)
 
 
-@query()
+@query(
+    f"""WITH a AS (SELECT {PROBLEM} AS t, source FROM documents WHERE {PROBLEM} <> ''),
+    f AS (SELECT * FROM a WHERE source < 'src5' OR length(t) BETWEEN 50 AND 8000 AND NOT {sql_any("t", V.CP_REJECT_PATTERNS)}),
+    n AS (SELECT (SELECT count(*) FROM a) AS n_preprocessed, (SELECT count(*) FROM f) AS n_filtered, (SELECT count(DISTINCT {sql_key("t")}) FROM f) AS n),
+    s AS (SELECT *, greatest(1, n // 100) AS n_test, greatest(1, n * 2 // 100) AS n_val FROM n)
+    SELECT 'taco,project_euler' AS sources, 85e-2 AS threshold, 42 AS seed, 'exact' AS method, n_preprocessed, n_filtered, n AS n_deduplicated, n - n_test - n_val AS n_train, n_val, n_test FROM s"""
+)
 def corpus_meta(spark, sf_dir):
-    """The whole plan over two sources made of the documents: counts by stage."""
-    raw = made(spark, sf_dir, RAW).selectExpr("doc_id AS _rid", "a AS question", "b AS problem", "sj AS solutions", "ej AS input_output", "lev AS difficulty", "tg AS tags", "src AS source")
-    return build({"taco": raw.where("source < 'src5'"), "generic": raw.where("source >= 'src5'")}, Options())["meta"]
+    """The whole plan over two sources made of the documents, with exact keys: counts by stage."""
+    raw = made(spark, sf_dir, RAW).selectExpr("doc_id AS _rid", "a AS question", "b AS problem", "b AS text", "sj AS solutions", "sj AS answer", "ej AS input_output", "lev AS difficulty", "tg AS tags", "src")
+    parts = {"taco": raw.where("src < 'src5'"), "project_euler": raw.where("src >= 'src5'")}
+    return build({name: df.drop("src") for name, df in parts.items()}, Options(method="exact"))["meta"]
 
 
 @query(f"SELECT count(*) AS n_preprocessed, count(*) FILTER (WHERE {sql_cp()}) AS n_filtered FROM {same(MARKS)} WHERE {sql_squeezed('t')} <> ''")
