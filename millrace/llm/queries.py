@@ -10,6 +10,7 @@ from .media import align, rendered
 from .mixing import mix
 from .pieces import encode_pieces
 from .pii import personal_data
+from .prefix_trie import prefix_trie
 from .quality import quality
 from .sharding import shard_documents
 from .simhash import simhash_groups
@@ -61,6 +62,10 @@ def op10_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"), rebuild=(20, 4))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_sharding": op10_sharding,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLES = {
