@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .media import align, rendered
 from .mixing import mix
 from .pieces import encode_pieces
@@ -66,6 +68,12 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie(table(spark, sf_dir, "conversations"), rebuild=(20, 4))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Some rows get the next label first, so that labels and clusters of vectors differ."""
+    rows = table(spark, sf_dir, "embeddings")
+    return hard_negatives(rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -78,6 +86,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_sharding": op10_sharding,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLES = {
