@@ -14,6 +14,7 @@ from .pieces import encode_pieces
 from .pii import personal_data
 from .prefix_trie import prefix_trie
 from .quality import quality
+from .setsketch import similar_documents
 from .sharding import shard_documents
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -74,6 +75,10 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives(rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
 
 
+def op13_setsketch_near_dedup(spark, sf_dir):
+    return similar_documents(table(spark, sf_dir, "documents"), words=3, over=85, under=100)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -87,6 +92,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_setsketch_near_dedup": op13_setsketch_near_dedup,
 }
 
 ORACLES = {
