@@ -1,301 +1,236 @@
 """Verification by running programs: scores of candidates against examples, unit tests and databases.
 
-Programs run in processes of their own: an isolated interpreter, an empty environment and folder, limits on CPU time,
-memory, files and processes, and the whole process group killed at the time limit. Candidates are rows, so partitions
-run side by side; within a row, runs follow one another. Nothing here runs unless a caller asks for it.
+The grain is a run: a program on one input, a program with its unit tests, or a query on a schema. Candidates are exploded
+to runs, equal runs of all candidates happen once, and what they gave is joined back and aggregated to rates and first
+failures. So neither a candidate with many examples nor a program that many candidates share holds a task. Where one
+failure decides, cheap checks come first and only what survives is run on more: examples are taken 1, 2, 4, ... at a time.
+Nothing here runs unless a caller asks for it.
 """
 
 from __future__ import annotations
 
-import os
-import re
-import resource
-import shutil
-import signal
-import sqlite3
-import subprocess
-import sys
-import tempfile
-import time
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame
+import math
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.extract import parses
+from millrace.functions.extract import normal_output, parses, valid_python
+from millrace.operators.dedup import _cut as cut
+from millrace.operators.programs import Limits, Outcome, Server, sql_score, test_counts
+from millrace.operators.scores import per_problem
 
-OUTPUT_MOST = 65_536
-# Words of SQL that make a query, scores of a run.
-SQL_VERBS = re.compile(r"\b(SELECT|INSERT|UPDATE|DELETE|CREATE|WITH)\b", re.IGNORECASE)
+# Scores of a run.
 SYNTAX_ERROR, RUNTIME_ERROR, TIMEOUT, RUNS = 0.0, 0.3, 0.5, 1.0
-NO_SQL, SQL_FAILS, SQL_RUNS = 0.0, 0.5, 1.0
-# Runs the tests in a module of their own and writes tests run, tests failed and overall success to a descriptor of its own.
-TEST_RUNNER = """
-import os, sys, types, unittest
-fd, write, load, runner = int(sys.argv.pop()), os.write, unittest.defaultTestLoader.loadTestsFromModule, unittest.TextTestRunner
-os.set_inheritable(fd, False)
-module = sys.modules["candidate"] = types.ModuleType("candidate")
-try:
-    exec(compile({source!r}, "candidate.py", "exec", dont_inherit=True), module.__dict__)
-except SystemExit:
-    pass
-result = runner(stream=sys.stderr).run(load(module))
-write(fd, b"%d %d %d" % (result.testsRun, len(result.failures) + len(result.errors), result.wasSuccessful()))
-"""
+#: Kinds of runs, and how many of them a task is given.
+RUN, TESTS, SQL = "run", "tests", "sql"
+A_TASK = 64
+OUTCOME = "stdout string, stderr string, late boolean, code int, elapsed double, ran int, failed int, well boolean, score double"
+
+
+def _outcomes(memory_mb: int):
+    def one(server: Server, kind: str, program: str, given: str, seconds: float) -> tuple:
+        if kind == SQL:
+            return "", "", False, 0, 0.0, 0, 0, True, sql_score(program, given, seconds)
+        if not parses(program):
+            r = Outcome("", "SyntaxError", False, 1, 0.0)
+        else:
+            r = server.run(program, given, Limits(seconds, memory_mb), kind == TESTS)
+        if kind == TESTS:
+            return "", "", r.timed_out, r.code, r.elapsed, *test_counts(r), 0.0
+        score = SYNTAX_ERROR if r.stderr == "SyntaxError" else RUNS if r.code == 0 else TIMEOUT if r.timed_out or "timeout" in r.stderr else RUNTIME_ERROR
+        return r.stdout, r.stderr[-200:], r.timed_out, r.code, r.elapsed, 0, 0, False, score
 
+    def run(frames):
+        names, server = [c.split()[0] for c in OUTCOME.split(", ")], Server()
+        try:
+            for frame in frames:
+                rows = [one(server, *r) for r in zip(frame["kind"], frame["program"], frame["given"], frame["seconds"])]
+                yield pd.concat([frame[["_run"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+        finally:
+            server.close()
 
-@dataclass
-class Limits:
-    seconds: float = 5.0
-    memory_mb: int = 512
-    file_mb: int = 16
-    processes: int = 256
+    return run
 
 
-@dataclass
-class Outcome:
-    stdout: str
-    stderr: str
-    timed_out: bool
-    code: int
-    elapsed: float
+def outcomes(runs: DataFrame, memory_mb: int = 512) -> DataFrame:
+    """``runs`` (kind, program, given, seconds and others) with what each gave; nulls are empty. Equal ones run once.
 
+    Runs are dealt to tasks by number, not by size: the programs are what costs. The result is cut to the shared folder, so that a
+    lost executor costs its own runs only.
+    """
+    spark = runs.sparkSession
+    filled = runs.withColumns({c: F.coalesce(c, F.lit("")) for c in ("program", "given")})
+    key = F.sha2(F.concat_ws(":", "kind", F.col("seconds").cast("string"), F.length("program").cast("string"), F.concat("program", "given")), 256)
+    keyed = filled.withColumn("_run", key)
+    distinct = cut(keyed.select("_run", "kind", "program", "given", "seconds").dropDuplicates(["_run"]))
+    tasks = min(50_000, max(spark.sparkContext.defaultParallelism, math.ceil(distinct.count() / A_TASK)))
+    done = cut(distinct.repartition(tasks, "_run").mapInPandas(_outcomes(memory_mb), f"_run string, {OUTCOME}"))
+    return keyed.drop("program", "given").join(done, "_run").drop("_run")
 
-def run_program(code: str, stdin: str = "", limits: Limits | None = None, report: int | None = None) -> Outcome:
-    """Run Python code on an input. A program that can't start counts as failed.
 
-    ``report``: a descriptor that the program inherits; its number is the program's last argument.
-    """
-    limits = limits or Limits()
-    more = [] if report is None else [str(report)]
-
-    def confine() -> None:
-        cpu = int(limits.seconds) + 1
-        for what, most in ((resource.RLIMIT_CPU, cpu), (resource.RLIMIT_AS, limits.memory_mb << 20), (resource.RLIMIT_FSIZE, limits.file_mb << 20), (resource.RLIMIT_CORE, 0), (resource.RLIMIT_NPROC, limits.processes)):
-            try:
-                resource.setrlimit(what, (most, most))
-            except (ValueError, OSError):
-                pass
-
-    folder, began = tempfile.mkdtemp(prefix="run-"), time.monotonic()
-    try:
-        path = os.path.join(folder, "main.py")
-        with open(path, "w", encoding="utf-8", errors="surrogatepass") as f:
-            f.write(code)
-        p = subprocess.Popen([sys.executable, "-I", path, *more], pass_fds=tuple(map(int, more)), stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, cwd=folder, env={"PATH": os.defpath}, preexec_fn=confine, start_new_session=True)
-        try:
-            out, err = p.communicate((stdin or "").encode("utf-8", "replace"), timeout=limits.seconds)
-            late = False
-        except subprocess.TimeoutExpired:
-            out, err, late = b"", b"timeout", True
-        finally:
-            try:
-                os.killpg(p.pid, signal.SIGKILL)
-            except OSError:
-                pass
-            p.wait()
-        text = [x[:OUTPUT_MOST].decode("utf-8", "replace") for x in (out, err)]
-        return Outcome(*text, late, -1 if late else p.returncode, limits.seconds if late else time.monotonic() - began)
-    except (OSError, ValueError) as e:
-        return Outcome("", str(e), False, -1, time.monotonic() - began)
-    finally:
-        shutil.rmtree(folder, ignore_errors=True)
-
-
-def normal(text: str) -> str:
-    return "\n".join(line.rstrip() for line in text.strip().splitlines())
-
-
-def _given(x, key: str) -> str:
-    return (x[key] if x is not None else "") or ""
-
-
-def first_failure(code: str, examples, limits: Limits) -> tuple[bool, str]:
-    """Whether all examples pass; else why the first that doesn't, numbered from 1, fails."""
-    if examples is None or not len(examples):
-        return False, "no_examples"
-    for i, x in enumerate(examples, 1):
-        r = run_program(code, _given(x, "input"), limits)
-        if r.timed_out:
-            return False, f"timeout_on_example_{i}"
-        if r.stderr and not r.stdout:
-            return False, f"runtime_error_example_{i}"
-        if normal(r.stdout) != normal(_given(x, "output")):
-            return False, f"wrong_answer_example_{i}"
-    return True, "passed"
-
-
-def example_rate(code: str, examples, limits: Limits) -> tuple[float, float]:
-    """Share of examples passed and mean time; (0, 0) without examples."""
-    if examples is None or not len(examples):
-        return 0.0, 0.0
-    passed, spent = 0, 0.0
-    for x in examples:
-        r = run_program(code, _given(x, "input"), limits)
-        spent += r.elapsed
-        passed += not r.timed_out and not (r.stderr and not r.stdout) and normal(r.stdout) == normal(_given(x, "output"))
-    return passed / len(examples), spent / len(examples)
-
-
-def run_tests(code: str, tests: str, limits: Limits) -> tuple[int, int, bool, float]:
-    """Unit tests run and failed, whether all went well, and the time. Without a report nothing ran.
-
-    The counts come from the result object by a pipe, so that what a candidate prints is never read as a report.
-    """
-    end, start = os.pipe()
-    try:
-        os.set_blocking(end, False)
-        spent = run_program(TEST_RUNNER.format(source=f"{code}\n\n{tests}"), "", limits, start)
-        try:
-            said = os.read(end, 100).split()
-        except BlockingIOError:
-            said = []
-    finally:
-        os.close(end)
-        os.close(start)
-    if spent.timed_out or len(said) != 3 or not all(x.isdigit() for x in said):
-        return 0, 0, False, spent.elapsed
-    return int(said[0]), int(said[1]), said[2] == b"1", spent.elapsed
-
-
-def unittest_rate(code: str, tests: str, limits: Limits) -> tuple[float, float]:
-    """Share of unit tests passed and the time; 0 where none ran."""
-    if not (tests or "").strip():
-        return 0.0, 0.0
-    ran, failed, _, spent = run_tests(code, tests, limits)
-    return max(0, ran - failed) / ran if ran else 0.0, spent
-
-
-def python_score(code: str, limits: Limits) -> float:
-    if not parses(code):
-        return SYNTAX_ERROR
-    r = run_program(code, "", limits)
-    return RUNS if r.code == 0 else TIMEOUT if r.timed_out or "timeout" in r.stderr else RUNTIME_ERROR
-
-
-def sql_score(sql: str, schema: str = "", seconds: float = 5.0) -> float:
-    """Score of a query on an empty in-memory database made by ``schema``; a leading "Schema:" line is no part of it."""
-    sql = (sql or "").strip()
-    if not sql or not SQL_VERBS.search(sql):
-        return NO_SQL
-    end = time.monotonic() + seconds
-    db = sqlite3.connect(":memory:")
-    try:
-        db.set_progress_handler(lambda: time.monotonic() > end, 10_000)
-        try:
-            db.executescript(re.sub(r"\ASchema:\n", "", schema or ""))
-        except sqlite3.Error:
-            pass
-        db.execute(sql)
-        return SQL_RUNS
-    except (sqlite3.Error, sqlite3.Warning):
-        return SQL_FAILS
-    finally:
-        db.close()
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_row``, a number that stays."""
+    return cut(rows.withColumn("_row", F.monotonically_increasing_id()))
 
 
-def score_programs(candidates: DataFrame, *, code_col: str = "code", examples_col: str = "examples", tests_col: str = "test_code", own_col: str = "self_tests", seconds: float = 10.0, memory_mb: int = 512) -> DataFrame:
-    """``candidates`` with valid_syntax, has_examples, pass_rate, elapsed and self_rate.
+def _of_examples(rows: DataFrame, code: Column, examples: Column, seconds: float, first: int = 1, most: int | None = None) -> DataFrame:
+    """Runs of each row's examples from the ``first``: (_row, place, want, kind, program, given, seconds)."""
+    some = F.slice(examples, first, most) if most else examples
+    each = rows.select("_row", code.alias("program"), F.posexplode(some).alias("_at", "_x"))
+    return each.select("_row", (F.col("_at") + first).alias("place"), F.col("_x.output").alias("want"), F.lit(RUN).alias("kind"), "program", F.col("_x.input").alias("given"), F.lit(float(seconds)).alias("seconds"))
 
-    Examples come first, unit tests (five seconds more) where there are none. The candidate's own tests run once the
-    given examples pass, or where there are none.
-    """
-    schema = candidates.schema.simpleString()[7:-1] + ",valid_syntax:boolean,has_examples:boolean,pass_rate:double,elapsed:double,self_rate:double"
 
-    def run(frames):
-        for f in frames:
-            rows = []
-            for r in f.to_dict("records"):
-                code, ex = r[code_col] or "", r.get(examples_col)
-                some = ex is not None and len(ex) > 0
-                rate, spent = example_rate(code, ex, Limits(seconds, memory_mb)) if some else unittest_rate(code, r.get(tests_col), Limits(seconds + 5, memory_mb)) if r.get(tests_col) else (0.0, seconds)
-                ok, own = parses(code), r.get(own_col)
-                own_rate = example_rate(code, own, Limits(seconds, memory_mb))[0] if ok and (rate >= 1 or not some) and own is not None and len(own) else 0.0
-                rows.append((ok, some, rate, spent, own_rate))
-            yield f.assign(**dict(zip(("valid_syntax", "has_examples", "pass_rate", "elapsed", "self_rate"), map(list, zip(*rows)) if rows else [[]] * 5)))
+def verdict(strict: bool = True) -> Column:
+    """What a run of an example came to: passed, or why not. Unless ``strict``, errors don't count, only the output."""
+    silent = F.lit(strict) & (F.col("stderr") != "") & (F.col("stdout") == "")
+    same = normal_output("stdout") == normal_output(F.coalesce("want", F.lit("")))
+    return F.when(F.col("late"), "timeout_on_example").when(silent, "runtime_error_example").when(same, "passed").otherwise("wrong_answer_example")
 
-    return candidates.mapInPandas(run, schema)
 
+def _given(examples: Column) -> Column:
+    return F.coalesce(F.size(examples), F.lit(0)) > 0
 
-def check_programs(candidates: DataFrame, *, code_col: str = "code", examples_col: str = "examples", seconds: float = 5.0, memory_mb: int = 512) -> DataFrame:
-    """``candidates`` with passed and reason: all examples, up to the first failure."""
-    schema = candidates.schema.simpleString()[7:-1] + ",passed:boolean,reason:string"
 
-    def run(frames):
-        for f in frames:
-            found = [first_failure(c or "", e, Limits(seconds, memory_mb)) for c, e in zip(f[code_col], f[examples_col])]
-            yield f.assign(passed=[x for x, _ in found], reason=[x for _, x in found])
+def _rates(rows: DataFrame, code: Column, examples: Column, seconds: float, memory_mb: int) -> DataFrame:
+    """(_row, rate, spent): share of examples passed and mean time, of rows that have some."""
+    judged = outcomes(_of_examples(rows, code, examples, seconds), memory_mb)
+    return judged.groupBy("_row").agg(F.avg((verdict() == "passed").cast("double")).alias("rate"), F.avg("elapsed").alias("spent"))
 
-    return candidates.mapInPandas(run, schema)
 
+def _test_rates(rows: DataFrame, code: Column, tests: Column, seconds: float, memory_mb: int) -> DataFrame:
+    """(_row, rate, spent, well): share of unit tests passed, the time, and whether some ran and all passed."""
+    source = F.concat(code, F.lit("\n\n"), tests)
+    judged = outcomes(rows.select("_row", F.lit(TESTS).alias("kind"), source.alias("program"), F.lit("").alias("given"), F.lit(float(seconds)).alias("seconds")), memory_mb)
+    rate = F.when(F.col("ran") > 0, F.greatest(F.col("ran") - F.col("failed"), F.lit(0)) / F.col("ran")).otherwise(0.0)
+    return judged.select("_row", rate.alias("rate"), F.col("elapsed").alias("spent"), (F.col("well") & (F.col("ran") > 0)).alias("well"))
 
-def verified_solution(solutions, examples, tests, seconds: float = 8.0) -> tuple[bool, str | None]:
-    """(keep, solution): the first solution that passes the first three examples, or all of its unit tests.
 
-    Without either, the record is kept as it is (no solution named); if no solution passes it goes.
-    """
-    some = list(examples) if examples is not None else []
-    if not some and not (tests or "").strip():
-        return True, None
-    for s in solutions if solutions is not None else []:
-        if not s or not s.strip():
-            continue
-        if some:
-            good = all(normal(run_program(s, _given(x, "input"), Limits(seconds)).stdout) == normal(_given(x, "output")) for x in some[:3])
-        else:
-            ran, _, good, _ = run_tests(s, tests, Limits(seconds + 5))
-            good = good and ran > 0
-        if good:
-            return True, s
-    return False, None
+def score_programs(candidates: DataFrame, *, code_col: str = "code", examples_col: str = "examples", tests_col: str = "test_code", own_col: str = "self_tests", seconds: float = 10.0, memory_mb: int = 512) -> DataFrame:
+    """``candidates`` with valid_syntax, has_examples, pass_rate, elapsed and self_rate.
 
+    Examples come first, unit tests (five seconds more) where there are none; with neither, the rate is 0 and the time all
+    that was allowed. The candidate's own tests run once the given examples pass, or where there are none. What doesn't
+    parse fails without being run.
+    """
+    rows = _numbered(candidates)
+    code = F.coalesce(code_col, F.lit(""))
+    column = lambda name, kind: F.col(name) if name in candidates.columns else F.lit(None).cast(kind)
+    examples, tests = F.col(examples_col), F.coalesce(column(tests_col, "string"), F.lit(""))
+    tested = rows.where(~_given(examples) & (F.trim(tests) != ""))
+    found = _rates(rows, code, examples, seconds, memory_mb).union(_test_rates(tested, code, tests, seconds + 5, memory_mb).drop("well"))
+    scored = cut(rows.join(found, "_row", "left").withColumns({"valid_syntax": valid_python(code_col), "has_examples": _given(examples)}))
+    spent = F.coalesce("spent", F.when(tests == "", F.lit(float(seconds))).otherwise(0.0))
+    scored = scored.withColumns({"pass_rate": F.coalesce("rate", F.lit(0.0)), "elapsed": spent}).drop("rate", "spent")
+    if own_col in candidates.columns:
+        worth = scored.where(F.col("valid_syntax") & ((F.col("pass_rate") >= 1) | ~F.col("has_examples")))
+        own = _rates(worth, code, F.col(own_col), seconds, memory_mb).select("_row", F.col("rate").alias("self_rate"))
+        scored = scored.join(own, "_row", "left").withColumn("self_rate", F.coalesce("self_rate", F.lit(0.0)))
+    else:
+        scored = scored.withColumn("self_rate", F.lit(0.0))
+    return scored.select(*candidates.columns, "valid_syntax", "has_examples", "pass_rate", "elapsed", "self_rate")
+
+
+def _first_failures(rows: DataFrame, code: Column, examples: Column, seconds: float, memory_mb: int, strict: bool = True) -> DataFrame:
+    """(_row, place, why) of the first example that each failing row fails, by rounds of 1, 2, 4, ... examples."""
+    deepest = rows.agg(F.max(F.size(examples))).first()[0] or 0
+    first, most, found = 1, 1, None
+    while first <= deepest:
+        judged = outcomes(_of_examples(rows, code, examples, seconds, first, most), memory_mb).withColumn("why", verdict(strict))
+        bad = cut(judged.where("why <> 'passed'").groupBy("_row").agg(F.min(F.struct("place", "why")).alias("worst")).select("_row", "worst.*"))
+        found = bad if found is None else found.union(bad)
+        first, most = first + most, most * 2
+        if first <= deepest:
+            rows = cut(rows.where(F.size(examples) >= first).join(bad, "_row", "left_anti"))
+    return found if found is not None else rows.sparkSession.createDataFrame([], "_row long, place int, why string")
 
-def keep_verified(records: DataFrame, seconds: float = 8.0) -> DataFrame:
-    """Records whose solutions hold, reduced to the first that does; those without tests stay unverified."""
-    schema = records.schema.simpleString()[7:-1]
 
-    def run(frames):
-        for f in frames:
-            tests = f["test_code"] if "test_code" in f else [None] * len(f)
-            found = [verified_solution(s, e, t, seconds) for s, e, t in zip(f["solutions"], f["examples"], tests)]
-            out = f.assign(solutions=[s if best is None else [best] for s, (_, best) in zip(f["solutions"], found)])
-            yield out[[keep for keep, _ in found]]
+def check_programs(candidates: DataFrame, *, code_col: str = "code", examples_col: str = "examples", seconds: float = 5.0, memory_mb: int = 512) -> DataFrame:
+    """``candidates`` with passed and reason: whether all examples pass, and why the first one that doesn't fails."""
+    rows = _numbered(candidates)
+    failures = _first_failures(rows.select("_row", code_col, examples_col), F.col(code_col), F.col(examples_col), seconds, memory_mb)
+    reason = F.when(~_given(F.col(examples_col)), "no_examples").when(F.col("why").isNull(), "passed").otherwise(F.concat_ws("_", "why", "place"))
+    return rows.join(failures, "_row", "left").withColumn("reason", reason).withColumn("passed", F.col("reason") == "passed").select(*candidates.columns, "passed", "reason")
 
-    return records.mapInPandas(run, schema)
 
+def keep_verified(records: DataFrame, seconds: float = 8.0, memory_mb: int = 512) -> DataFrame:
+    """Records whose solutions hold, reduced to the first that does; those without examples and tests stay as they are.
 
-def score_answers(answers: DataFrame, *, kind_col: str = "type", blocks_col: str = "blocks", context_col: str = "context", own_col: str = "self_test_code", seconds: float = 5.0) -> DataFrame:
+    A solution holds if it passes the first three examples or, where there are none, all unit tests, of which there must
+    be some. Blank solutions are passed over. Solutions are tried 1, 2, 4, ... at a time, only of records without one that holds.
+    """
+    rows = _numbered(records)
+    tests = F.coalesce(F.col("test_code"), F.lit("")) if "test_code" in records.columns else F.lit("")
+    given = F.coalesce(_given(F.col("examples")), F.lit(False))
+    testable = given | (F.trim(tests) != "")
+    tried = F.filter(F.coalesce("solutions", F.array().cast("array<string>")), lambda s: F.coalesce(F.trim(s), F.lit("")) != "")
+    left = cut(rows.where(testable).select(F.col("_row").alias("_record"), tried.alias("_tried"), F.slice("examples", 1, 3).alias("_examples"), tests.alias("_tests"), given.alias("_given")))
+    deepest, first, most, good = left.agg(F.max(F.size("_tried"))).first()[0] or 0, 1, 1, None
+    while first <= deepest:
+        each = left.select("_record", "_examples", "_tests", "_given", F.posexplode(F.slice("_tried", first, most)).alias("_at", "_code"))
+        each = _numbered(each.withColumn("_at", F.col("_at") + first))
+        failed = _first_failures(each.where("_given"), F.col("_code"), F.col("_examples"), seconds, memory_mb, strict=False).select("_row")
+        by_tests = _test_rates(each.where("not _given"), F.col("_code"), F.col("_tests"), seconds + 5, memory_mb).where("not well").select("_row")
+        held = each.join(failed.union(by_tests), "_row", "left_anti").groupBy("_record").agg(F.min("_at").alias("_at"))
+        held = cut(held)
+        good = held if good is None else good.union(held)
+        first, most = first + most, most * 2
+        if first <= deepest:
+            left = cut(left.where(F.size("_tried") >= first).join(held, "_record", "left_anti"))
+    if good is None:
+        good = left.select("_record", F.lit(0).alias("_at")).limit(0)
+    best = F.when(testable, F.array(F.get(tried, F.col("_at") - 1))).otherwise(F.col("solutions"))
+    joined = rows.join(good.withColumnRenamed("_record", "_row"), "_row", "left").where(~testable | F.col("_at").isNotNull())
+    return joined.withColumn("solutions", best).select(*records.columns)
+
+
+def score_answers(answers: DataFrame, *, kind_col: str = "type", blocks_col: str = "blocks", context_col: str = "context", own_col: str = "self_test_code", seconds: float = 5.0, memory_mb: int = 512) -> DataFrame:
     """``answers`` (blocks: (lang, code)) with has_code, exec_reward, self_pass, any_valid and verified.
 
     SQL blocks are scored for SQL records and Python blocks for code and debugging ones; where no block has the
-    language, all blocks are, or all that parse. Other records are verified by any block that parses.
+    language, all blocks are, or all that parse. Other records are verified by any block that parses. Only Python
+    blocks that run well are tried with the answer's own tests.
     """
-    schema = answers.schema.simpleString()[7:-1] + ",has_code:boolean,exec_reward:double,self_pass:boolean,any_valid:boolean,verified:boolean"
-
-    def one(r: dict) -> tuple:
-        kind, found = r[kind_col] or "code", [(b["lang"], b["code"]) for b in (r[blocks_col] if r[blocks_col] is not None else [])]
-        valid = any(parses(c) for _, c in found)
-        if kind == "sql":
-            mine = [c for lang, c in found if "sql" in lang] or [c for _, c in found]
-            best = max((sql_score(c, r.get(context_col) or "", seconds) for c in mine), default=0.0)
-            return bool(found), best, False, valid, best >= 0.9
-        if kind in ("code", "debug"):
-            mine = [c for lang, c in found if lang in ("python", "py")] or [c for _, c in found if parses(c)]
-            best = max((python_score(c, Limits(seconds)) for c in mine), default=0.0)
-            both = f"{mine[0]}\n\n{r.get(own_col)}" if best >= 0.9 and mine and r.get(own_col) else ""
-            return bool(found), best, bool(both) and python_score(both, Limits(seconds)) == RUNS, valid, best >= 0.9
-        return bool(found), 0.0, False, valid, valid
-
-    def run(frames):
-        for f in frames:
-            rows = [one(r) for r in f.to_dict("records")]
-            yield f.assign(**dict(zip(("has_code", "exec_reward", "self_pass", "any_valid", "verified"), map(list, zip(*rows)) if rows else [[]] * 5)))
-
-    return answers.mapInPandas(run, schema)
+    rows = _numbered(answers)
+    column = lambda name: F.coalesce(F.col(name), F.lit("")) if name in answers.columns else F.lit("")
+    kind = F.coalesce(F.col(kind_col), F.lit("code"))
+    python, sql = kind.isin("code", "debug"), kind == "sql"
+    each = rows.select("_row", kind.alias("_kind"), column(context_col).alias("_context"), F.posexplode(blocks_col).alias("_at", "_b"))
+    each = each.select("_row", "_kind", "_context", "_at", F.col("_b.lang").alias("_lang"), F.coalesce("_b.code", F.lit("")).alias("_code"))
+    each = each.withColumns({"_valid": valid_python("_code"), "_named": F.when(F.col("_kind") == "sql", F.contains("_lang", F.lit("sql"))).otherwise(F.col("_lang").isin("python", "py"))})
+    each = cut(each.withColumn("_named", F.coalesce("_named", F.lit(False))))
+    # What is in a row's blocks, joined by its number: there may be many.
+    about = each.groupBy("_row").agg(F.max("_valid").alias("any_valid"), F.max("_named").alias("_any_named"))
+    is_sql, is_python = F.col("_kind") == "sql", F.col("_kind").isin("code", "debug")
+    mine = cut(each.join(about, "_row").where(F.when(F.col("_any_named"), F.col("_named")).otherwise(is_sql | F.col("_valid")) & (is_sql | is_python)))
+    runs = mine.select("_row", "_at", F.when(is_sql, SQL).otherwise(RUN).alias("kind"), F.col("_code").alias("program"), F.when(is_sql, F.col("_context")).otherwise("").alias("given"), F.lit(float(seconds)).alias("seconds"))
+    best = outcomes(runs, memory_mb).groupBy("_row").agg(F.max("score").alias("_best"))
+    scored = rows.join(about.drop("_any_named"), "_row", "left").join(best, "_row", "left")
+    scored = cut(scored.withColumns({"has_code": _given(F.col(blocks_col)), "exec_reward": F.coalesce("_best", F.lit(0.0)), "any_valid": F.coalesce("any_valid", F.lit(False))}).drop("_best"))
+    first = mine.where(is_python).groupBy("_row").agg(F.min(F.struct("_at", "_code")).alias("_first")).select("_row", F.col("_first._code").alias("_code"))
+    own = scored.where(python & (F.col("exec_reward") >= 0.9) & (column(own_col) != "")).join(first, "_row")
+    both = own.select("_row", F.lit(RUN).alias("kind"), F.concat("_code", F.lit("\n\n"), column(own_col)).alias("program"), F.lit("").alias("given"), F.lit(float(seconds)).alias("seconds"))
+    passed = outcomes(both, memory_mb).select("_row", (F.col("score") == RUNS).alias("self_pass"))
+    whole = scored.join(passed, "_row", "left").withColumns({"self_pass": F.coalesce("self_pass", F.lit(False)), "verified": F.when(sql | python, F.col("exec_reward") >= 0.9).otherwise(F.col("any_valid"))})
+    return whole.select(*answers.columns, "has_code", "exec_reward", "self_pass", "any_valid", "verified")
+
+
+def evaluate(problems: DataFrame, candidates: DataFrame, ks: tuple[int, ...] = (1,), seconds: float = 5.0, memory_mb: int = 512) -> DataFrame:
+    """``problems`` (problem_id, examples) with skipped, n_samples, n_correct, pass_k and first_right.
+
+    ``candidates`` (problem_id, sample_idx, code) are joined to their problem's examples first. Problems without examples
+    are skipped: their candidates don't run, and they have no pass_k. ``first_right`` is the sample_idx of the first
+    candidate that passes all, which rejection sampling keeps.
+    """
+    given = _given(F.col("examples"))
+    tried = candidates.join(problems.where(given).select("problem_id", "examples"), "problem_id")
+    checked = check_programs(tried, seconds=seconds, memory_mb=memory_mb)
+    counted = per_problem(checked, ks)
+    right = checked.where("passed").groupBy("problem_id").agg(F.min("sample_idx").alias("first_right"))
+    found = problems.join(counted, "problem_id", "left").join(right, "problem_id", "left").withColumn("skipped", ~given)
+    return found.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_samples", "n_correct")})
 
 
 def passes_all(scored: DataFrame) -> DataFrame:
     """``scored`` with verified: programs that pass every test."""
     return scored.withColumn("verified", F.col("pass_rate") >= 1.0)
-
-

@@ -7,10 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import scores, verify
+from millrace.operators import scores
 from millrace.operators.dedup import shared_folder
 from millrace.plans.catalogue import made, query, same, table
-from millrace.plans.catalogue_records import PROGRAMS
 from millrace.sources import readers as R
 
 
@@ -108,17 +107,6 @@ def sink_pairs(spark, sf_dir):
     return R.read_jsonl(spark, path, "doc_id long, prompt string, response string, type string").select("doc_id", F.md5("prompt").alias("prompt"), F.md5("response").alias("response"), "type")
 
 
-@query(f"SELECT * FROM (VALUES (0, '{PROGRAMS[0]}'), (2, '{PROGRAMS[1]}')) v(problem_id, response)")
-def sink_verified_pairs(spark, sf_dir):
-    """Records whose solutions hold, or can't be tested, as pairs in a file."""
-    path = _folder(spark, "verified")
-    examples = F.when(F.col("problem_id") < 2, F.array(F.struct(F.lit("1 2").alias("input"), F.lit("3").alias("output"))))
-    rows = [(0, [PROGRAMS[1], PROGRAMS[0]]), (1, [PROGRAMS[1]]), (2, [PROGRAMS[1]])]
-    d = spark.createDataFrame(rows, "problem_id int, solutions array<string>").withColumns({"examples": examples, "test_code": F.lit("")})
-    R.write_pairs(verify.keep_verified(d, 2.0).select("problem_id", F.lit("Add").alias("prompt"), F.col("solutions")[0].alias("response")), path)
-    return R.read_jsonl(spark, path, "problem_id int, response string")
-
-
 @query("SELECT doc_id, md5(text) AS text, lang, source, n_chars FROM documents WHERE doc_id % 3 = 0")
 def sink_jsonl(spark, sf_dir):
     path = _folder(spark, "jsonl")

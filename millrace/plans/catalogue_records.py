@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import extract as E
 from millrace.functions import relevance_values as V
-from millrace.operators import formats, scores, tokens, verify
+from millrace.operators import formats, scores, tokens
 from millrace.plans.catalogue import EX_JSON, EX_WANT, MARKS, SOL_JSON, SOL_WANT, made, query, same, shown_examples, sql_any, sql_clean, sql_cp, sql_first, sql_key, sql_level, sql_squeezed, sql_strip, table
 from millrace.plans.corpus import Options, build
 from millrace.sources import normalize as N
@@ -478,52 +478,7 @@ def se_by_type(spark, sf_dir):
     return _quality(spark, sf_dir, "type")
 
 
-# ---- runs and the whole plan -----------------------------------------------------------------------------------------
-
-# Fixed programs: right, wrong, endless, failing, broken.
-PROGRAMS = ("print(sum(map(int, input().split())))", "print(0)", "while True: pass", "raise ValueError(1)", "print(")
-
-
-def _of_documents(spark, sf_dir, scored: DataFrame, n: int) -> DataFrame:
-    """Each document with the outcome of the candidate it is given: candidates run once, and join back."""
-    asked = made(spark, sf_dir, _asked(n))
-    return asked.join(F.broadcast(scored), "problem_id").drop("problem_id")  # n rows
-
-
-_asked = lambda n: f"doc_id ;; doc_id % {n} AS problem_id"
-
-
-@query(
-    f"""SELECT doc_id, valid_syntax, pass_rate, self_rate, passed, reason FROM {same(_asked(5))} JOIN (VALUES
-    (0, true, 1e0, 1e0, true, 'passed'), (1, true, 0e0, 0e0, false, 'wrong_answer_example_1'), (2, true, 0e0, 0e0, false, 'timeout_on_example_1'),
-    (3, true, 0e0, 0e0, false, 'runtime_error_example_1'), (4, false, 0e0, 0e0, false, 'runtime_error_example_1')
-    ) v(problem_id, valid_syntax, pass_rate, self_rate, passed, reason) USING (problem_id)"""
-)
-def verify_programs(spark, sf_dir):
-    one = F.array(F.struct(F.lit("1 2").alias("input"), F.lit("3\n").alias("output")))
-    d = spark.createDataFrame(list(enumerate(PROGRAMS)), "problem_id long, code string").withColumns({"examples": one, "test_code": F.lit(""), "self_tests": one})
-    checked = verify.check_programs(verify.score_programs(d, seconds=1.0), seconds=1.0)
-    return _of_documents(spark, sf_dir, checked.select("problem_id", "valid_syntax", "pass_rate", "self_rate", "passed", "reason"), 5)
-
-
-@query(
-    f"""SELECT doc_id, exec_reward, self_pass, any_valid, verified, reward FROM {same(_asked(5))} JOIN (VALUES
-    (0, 1e0, false, false, true, 1e0), (1, 5e-1, false, false, false, 6e-1), (2, 1e0, true, true, true, 1e0), (3, 0e0, false, true, true, 3e-1), (4, 0e0, false, false, false, 0e0)
-    ) v(problem_id, exec_reward, self_pass, any_valid, verified, reward) USING (problem_id)"""
-)
-def verify_answers(spark, sf_dir):
-    rows = [(0, "sql", "```sql\nSELECT a FROM t\n```"), (1, "sql", "```sql\nSELECT b FROM u\n```"), (2, "code", "```python\nx = 1\n```<tests>assert x == 1</tests>"), (3, "qa", "```\nx = 1\n```"), (4, "debug", "none")]
-    d = spark.createDataFrame(rows, "problem_id long, type string, t string").select("problem_id", "type", E.named_blocks("t").alias("blocks"), F.lit("Schema:\nCREATE TABLE t (a INT);").alias("context"), E.self_test_code("t").alias("self_test_code"), E.has_reasoning("t").alias("reasoned"))
-    scored = verify.score_answers(d, seconds=2.0).withColumn("reward", F.round(scores.se_reward(), 9))
-    return _of_documents(spark, sf_dir, scored.select("problem_id", "exec_reward", "self_pass", "any_valid", "verified", "reward"), 5)
-
-
-@query(f"SELECT doc_id, 'print(sum(map(int, input().split())))' AS solutions FROM {same(_asked(2))} WHERE problem_id = 0")
-def keep_verified(spark, sf_dir):
-    one = F.array(F.struct(F.lit("1 2").alias("input"), F.lit("3").alias("output")))
-    d = spark.createDataFrame([(0, [PROGRAMS[1], PROGRAMS[0]]), (1, [PROGRAMS[1]])], "problem_id long, solutions array<string>").withColumns({"examples": one, "test_code": F.lit("")})
-    return _of_documents(spark, sf_dir, verify.keep_verified(d, 2.0).select("problem_id", F.array_join("solutions", "|").alias("solutions")), 2)
-
+# ---- the whole plan --------------------------------------------------------------------------------------------------
 
 @query(
     f"""WITH a AS (SELECT {PROBLEM} AS t, source FROM documents WHERE {PROBLEM} <> ''),

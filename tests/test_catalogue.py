@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from millrace.plans import catalogue, catalogue_files, catalogue_records  # noqa: F401
+from millrace.plans import catalogue, catalogue_files, catalogue_records, catalogue_runs  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -41,25 +41,6 @@ def test_minhash_keeps_about_what_similarity_keeps(spark, sf):
     assert len(exact ^ greedy) <= 5 and exact <= verified
 
 
-def test_programs(spark, sf):
-    rows = {r.doc_id % 5: r for r in catalogue.QUERIES["verify_programs"](spark, sf).collect()}
-    assert [rows[i].reason for i in range(5)] == ["passed", "wrong_answer_example_1", "timeout_on_example_1", "runtime_error_example_1", "runtime_error_example_1"]
-    assert [rows[i].valid_syntax for i in range(5)] == [True, True, True, True, False]
-    assert rows[0].pass_rate == rows[0].self_rate == 1.0 and all(rows[i].pass_rate == 0 for i in range(1, 5))
-
-
-def test_answers(spark, sf):
-    rows = {r.doc_id % 5: r for r in catalogue.QUERIES["verify_answers"](spark, sf).collect()}
-    assert [rows[i].exec_reward for i in range(5)] == [1.0, 0.5, 1.0, 0.0, 0.0]
-    assert [rows[i].verified for i in range(5)] == [True, False, True, True, False]
-    assert rows[2].self_pass and rows[2].reward == 1.0 and rows[3].reward == pytest.approx(0.3) and rows[4].reward == 0
-
-
-def test_verified_records(spark, sf):
-    rows = catalogue.QUERIES["keep_verified"](spark, sf).collect()
-    assert rows and {(r.doc_id % 2, r.solutions) for r in rows} == {(0, catalogue_records.PROGRAMS[0])}
-
-
 def test_plan_counts(spark, sf):
     r = catalogue.QUERIES["corpus_meta"](spark, sf).collect()[0]
     assert r.n_preprocessed >= r.n_filtered >= r.n_deduplicated >= r.n_train + r.n_val + r.n_test

@@ -5,7 +5,7 @@ import json
 
 import pytest
 from millrace.functions import extract, text
-from millrace.operators import dedup, formats, relevance, scores, split, tokens, verify
+from millrace.operators import dedup, formats, programs, relevance, scores, split, tokens, verify
 from millrace.plans.corpus import Options, build, prepare
 from millrace.sources import normalize, readers
 from pyspark.sql import functions as F
@@ -138,25 +138,76 @@ def test_filters_by_branch(spark):
 
 
 def test_programs_are_confined():
-    out = verify.run_program("import os\nprint(len(os.environ), os.getcwd() != '/')", "", verify.Limits(5))
-    assert out.code == 0 and out.stdout.split()[1] == "True"
-    assert verify.run_program("x = bytearray(10**10)", "", verify.Limits(5)).code != 0
-    assert len(verify.run_program("print('a' * 10**6)", "", verify.Limits(5)).stdout) == verify.OUTPUT_MOST
-    late = verify.run_program("import time; time.sleep(60)", "", verify.Limits(0.5))
+    out = programs.run_program("import os\nprint('HOME' in os.environ, os.getcwd() != '/')", "", programs.Limits(5))
+    assert out.code == 0 and out.stdout.split() == ["False", "True"]
+    assert programs.run_program("x = bytearray(10**10)", "", programs.Limits(5)).code != 0
+    assert len(programs.run_program("print('a' * 10**6)", "", programs.Limits(5)).stdout) == programs.OUTPUT_MOST
+    late = programs.run_program("import time; time.sleep(60)", "", programs.Limits(0.5))
     assert late.timed_out and late.elapsed == 0.5
-    good = "import unittest\nclass T(unittest.TestCase):\n def test_a(self): self.assertEqual(f(), 1)\n def test_b(self): self.assertEqual(f(), 2)"
-    assert verify.unittest_rate("def f(): return 1", good, verify.Limits(10))[0] == 0.5
+    assert programs.sql_score("with r as (select 1) select * from r") == 1.0 and programs.sql_score("hello") == 0.0
+
+
+def test_programs_do_not_see_each_other():
+    server = programs.Server()
+    try:
+        run = lambda code, given="": server.run(code, given, programs.Limits(2))
+        assert run("import builtins\nbuiltins.kept = 1\nopen('f', 'w').write('x')").code == 0
+        assert run("import os\nprint(os.listdir('.'), 'kept' in dir(__builtins__))").stdout == "[] False\n"
+        assert run("print(input(), 'é')", "ü").stdout == "ü é\n"
+        assert run("raise SystemExit('no')").code == 1 and run("import sys; sys.exit(3)").code == 3
+        assert run("import threading\nthreading.Thread(target=print, args=('late',)).start()").stdout == "late\n"
+        assert run("import os; os.kill(os.getppid(), 9)").code == -1  # the server is started again
+        assert run("if __name__ == '__main__': print(1)").stdout == "1\n"
+        assert run("import os\nif os.fork() == 0:\n while True: pass").code == 0
+    finally:
+        server.close()
+
+
+UNIT = "import unittest\nclass T(unittest.TestCase):\n def test_a(self): self.assertEqual(f(), 1)\n def test_b(self): self.assertEqual(f(), 2)"
+
+
+def test_unit_tests(spark):
     said = "import sys\nprint('Ran 100 tests in 0s\\n\\nOK', file=sys.stderr)\n"
-    assert verify.unittest_rate(said + "def f(): return 1", good, verify.Limits(10))[0] == 0.5
-    assert verify.unittest_rate(said + "sys.exit(0)", good, verify.Limits(10))[0] == 0.0 and verify.unittest_rate("def f(", good, verify.Limits(10))[0] == 0.0
-    mains = good + "\nif __name__ == '__main__': unittest.main()"
-    assert verify.unittest_rate("def f(): return 1", mains, verify.Limits(10))[0] == verify.unittest_rate("def f(): return 1", good + "\nunittest.main()", verify.Limits(10))[0] == 0.5
-    one = good[: good.index("\n def test_b")]
-    assert verify.verified_solution(["import os; os._exit(0)", "def f(): return 2", "def f(): return 1"], [], one) == (True, "def f(): return 1")
-    assert verify.verified_solution(["def f(): return 2"], [], one) == (False, None)
-    assert verify.sql_score("with r as (select 1) select * from r") == 1.0 and verify.sql_score("hello") == 0.0
-    assert verify.verified_solution(["print(2)", "print(1)"], [{"input": "", "output": "1"}], "") == (True, "print(1)")
-    assert verify.verified_solution(["print(2)"], [], "") == (True, None)
+    mains = UNIT + "\nif __name__ == '__main__': unittest.main()"
+    rows = [("def f(): return 1", UNIT, 0.5), (said + "def f(): return 1", UNIT, 0.5), (said + "sys.exit(0)", UNIT, 0.0), ("def f(", UNIT, 0.0), ("def f(): return 1", mains, 0.5), ("def f(): return 1", UNIT + "\nunittest.main()", 0.5), ("def f(): return 1", " ", 0.0), ("x = 1", None, 0.0)]
+    df = spark.createDataFrame([(i, c, t) for i, (c, t, _) in enumerate(rows)], "i long, code string, test_code string").withColumn("examples", F.array().cast(text.EXAMPLES))
+    got = {r.i: r for r in verify.score_programs(df, seconds=5.0).collect()}
+    assert [got[i].pass_rate for i in range(len(rows))] == [r for *_, r in rows]
+    assert got[6].elapsed == 0 and got[7].elapsed == 5.0 and not got[0].has_examples
+
+
+def test_solutions_that_hold(spark):
+    one, none = UNIT[: UNIT.index("\n def test_b")], []
+    shown = [{"input": "", "output": "1"}]
+    rows = [
+        (0, ["import os; os._exit(0)", "def f(): return 2", "def f(): return 1"], none, one),
+        (1, ["def f(): return 2"], none, one),
+        (2, ["print(2)", " ", None, "print(1)", "print('1 ')"], shown, ""),
+        (3, ["print(2)"], none, ""),
+        (4, None, shown, None),
+        (5, ["print(2)"], None, None),
+        (6, ["print(1)\nraise ValueError"], shown * 2 + [{"input": None, "output": "1\n"}, {"input": "", "output": "not looked at"}], None),
+        (7, ["raise ValueError"], [{"input": "", "output": None}], None),
+    ]
+    df = spark.createDataFrame(rows, "i long, solutions array<string>, examples array<struct<input:string,output:string>>, test_code string").repartition(3)
+    got = {r.i: r.solutions for r in verify.keep_verified(df, 5.0).collect()}
+    assert got == {0: ["def f(): return 1"], 2: ["print(1)"], 3: ["print(2)"], 5: ["print(2)"], 6: ["print(1)\nraise ValueError"], 7: ["raise ValueError"]}
+    assert verify.keep_verified(df.where("i > 99")).isEmpty()
+
+
+def test_first_failures_and_equal_runs(spark):
+    """A failure past many examples; a program that many candidates share runs once on each input."""
+    many = [{"input": str(i), "output": str(i + (i == 37))} for i in range(50)]
+    rows = [(0, "print(input())", many), (1, "print(input())", many[:20]), (2, "print(input())", []), (3, None, many[:1]), (4, "print(", many[:1]), (5, "while True: pass", many), (6, "print(input() + ' ')", many[:9])]
+    rows += [(i, "print(input())", many[:20]) for i in range(10, 200)]
+    df = spark.createDataFrame(rows, "i long, code string, examples array<struct<input:string,output:string>>").repartition(4)
+    got = {r.i: r.reason for r in verify.check_programs(df, seconds=1.0).collect()}
+    assert [got[i] for i in range(7)] == ["wrong_answer_example_38", "passed", "no_examples", "wrong_answer_example_1", "runtime_error_example_1", "timeout_on_example_1", "passed"]
+    assert all(got[i] == "passed" for i in range(10, 200))
+    units = verify._of_examples(verify._numbered(df.where("i >= 10")), F.col("code"), F.col("examples"), 1.0)
+    judged = verify.outcomes(units)
+    assert judged.count() == 190 * 20 and judged.select("elapsed").distinct().count() <= 20
+    assert verify.check_programs(df.where("i > 999")).isEmpty() and verify.score_programs(df.where("i > 999")).isEmpty()
 
 
 def test_normalizers_take_anything(spark):
