@@ -7,7 +7,8 @@ of each similarity, and pairs for which the wanted ones are hopeless are left ou
 whole sets.
 
 Equal sets are one class, with one sketch. Buckets make no pairs of all their members: first each is held against one,
-what that links is one component, and only pairs of different components are then taken from a bucket.
+and what that links is one component. What is left of a bucket, members of different components, goes to a task with its
+sketches and sets, where each pair is looked at in the first band it shares; only a spanning forest of the links comes back.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 #: A pair is left out if the wanted similarities are less likely than others by this factor's logarithm.
 HOPELESS = 18.0
-#: Buckets of more classes than FEW are dealt to tasks by blocks, together BLOCK classes at most.
-FEW, BLOCK = 32, 2_000
+#: Buckets whose sets together have more shingles than LIGHT are dealt to tasks by blocks, together some BLOCK shingles.
+LIGHT, BLOCK = 65_536, 2_000_000
 #: Times that each member of a bucket is held against one of another component, before all pairs of components are.
 HUBS = 3
 
@@ -145,19 +146,59 @@ def _sizes_fit(n, m, over: int, under: int):
     return (under * n >= over * m) & (under * m >= over * n)
 
 
-def _block_pairs(over: int, under: int):
+def _forest(band: int, node: np.ndarray, label: np.ndarray, made: np.ndarray, size: np.ndarray, flat: np.ndarray, over: int, under: int) -> np.ndarray:
+    """Links (a, b) that join the components ``label`` as all links of the classes given do.
+
+    A pair is looked at only if ``band`` is the first that it shares. Classes outside the largest component are taken
+    one at a time: bounds by sizes and sketches first, then what their sets share with all that is left, at once.
+    """
+    node, at = np.unique(node, return_index=True)
+    label, made, ends = label[at].copy(), made[at], np.cumsum(size)
+    parts = [flat[ends[i] - size[i] : ends[i]] for i in at]
+    n = size[at]
+    _, ids = np.unique(np.concatenate(parts), return_inverse=True)
+    first = np.cumsum(n) - n
+    bands = made.reshape(len(node), BANDS, ROWS)
+    names, counts = np.unique(label, return_counts=True)
+    has, out = np.zeros(len(ids), bool), []
+    for i in np.nonzero(label != names[counts.argmax()])[0]:
+        some = np.nonzero((label != label[i]) & _sizes_fit(n, n[i], over, under))[0]
+        if len(some):
+            same = (bands[some] == bands[i]).all(axis=2)
+            some = some[same[:, band] & ~same[:, :band].any(axis=1)]
+        if len(some):
+            sizes = np.full(len(some), n[i], float), n[some].astype(float)
+            some = some[hopeful((made[i] > made[some]).sum(axis=1), (made[i] < made[some]).sum(axis=1), *sizes, over, under)]
+        if not len(some):
+            continue
+        own = ids[first[i] : first[i] + n[i]]
+        has[own] = True
+        shared = np.array([np.count_nonzero(has[ids[first[j] : first[j] + n[j]]]) for j in some])
+        has[own] = False
+        near = some[(over + under) * shared >= over * (n[i] + n[some])]
+        for joined in np.unique(label[near]):
+            out.append((node[i], node[near[label[near] == joined][0]]))
+        label[np.isin(label, label[near])] = label[i]
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _light_links(over: int, under: int):
+    def run(frames):
+        for frame in frames:
+            for band, node, label, made, size, flat in frame.itertuples(index=False):
+                found = _forest(band, node, label, _registers_of(made), size, flat, over, under)
+                if len(found):
+                    yield pd.DataFrame(np.sort(found, axis=1), columns=["a", "b"])
+
+    return run
+
+
+def _block_links(over: int, under: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        """Of two blocks of a large bucket, the hopeful pairs of different components, a class outside the largest one at a time."""
-        frame = frame.drop_duplicates("node")
-        node, label, n = (frame[c].to_numpy(np.int64) for c in ("node", "label", "n"))
-        names, sizes = np.unique(label, return_counts=True)
-        made, out = _registers_of(frame["sketch"]), [np.zeros((0, 2), np.int64)]
-        for i in np.nonzero(label != names[sizes.argmax()])[0]:
-            at = np.nonzero((label != label[i]) & _sizes_fit(n, n[i], over, under))[0]
-            if len(at):
-                ok = hopeful((made[i] > made[at]).sum(axis=1), (made[i] < made[at]).sum(axis=1), np.full(len(at), n[i], float), n[at].astype(float), over, under)
-                out.append(np.sort(np.stack([np.full(ok.sum(), node[i]), node[at[ok]]], axis=1), axis=1))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"]).drop_duplicates()
+        size = frame["shingles"].map(len).to_numpy(np.int64)
+        node, label = (frame[c].to_numpy(np.int64) for c in ("node", "label"))
+        found = _forest(int(frame["band"].iloc[0]), node, label, _registers_of(frame["sketch"]), size, np.concatenate(frame["shingles"].to_list()), over, under)
+        return pd.DataFrame(np.sort(found, axis=1), columns=["a", "b"])
 
     return run
 
@@ -169,11 +210,11 @@ class _Search:
         self.docs, self.classes, self.words, self.over, self.under = docs, classes, words, over, under
 
     def members(self) -> DataFrame:
-        """(h, node, n) of the buckets that several classes are in."""
+        """(h, band, node, n) of the buckets that several classes are in."""
         bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)))
-        dealt = self.classes.select(F.explode(bands).alias("h"), "node", "n")
+        dealt = self.classes.select(F.posexplode(bands).alias("band", "h"), "node", "n")
         met = dealt.groupBy("h").agg(F.count("*").alias("_m")).where("_m > 1")
-        return cut(dealt.join(met, "h").select("h", "node", "n"))
+        return cut(dealt.join(met, "h").select("h", "band", "node", "n"))
 
     def fit(self, n: Column, m: Column) -> Column:
         return _sizes_fit(n, m, self.over, self.under)
@@ -183,11 +224,14 @@ class _Search:
         one, two = (self.classes.select(F.col("node").alias(c), F.col("sketch").alias(f"of_{c}")) for c in ("a", "b"))
         return self.similar(cut(pairs.join(one, "a").join(two, "b").mapInPandas(_hopeful_pairs(self.over, self.under), "a long, b long")))
 
-    def similar(self, pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes."""
         wanted = self.classes.join(nodes, "node", "left_semi").select("_k", "_sig", "node")
         texts = self.docs.select(*row_key(), text_of().alias("text")).join(small(wanted), ["_k", "_sig"]).select("node", "text")
-        sets = cut(texts.mapInPandas(_sets(self.words), "node long, shingles array<long>").dropDuplicates(["node"]))
+        return cut(texts.mapInPandas(_sets(self.words), "node long, shingles array<long>").dropDuplicates(["node"]))
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        sets = self.sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
         both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
         return cut(both.where((self.over + self.under) * F.col("shared") >= self.over * (F.size("of_a") + F.size("of_b"))).select("a", "b"))
@@ -197,10 +241,10 @@ class _Search:
         if links is None:
             named = members.withColumn("label", F.col("node"))
         else:
-            named = members.join(components(links), "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("label"))
+            named = members.join(components(links), "node", "left").select("h", "band", "node", "n", F.coalesce("root", "node").alias("label"))
         named = cut(named)
-        mixed = named.groupBy("h").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("m")).where("_low < _high")
-        return cut(named.join(mixed.select("h", "m"), "h"))
+        mixed = named.groupBy("h").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("m"), F.sum("n").alias("w")).where("_low < _high")
+        return cut(named.join(mixed.select("h", "m", "w"), "h"))
 
     def hub_pairs(self, left: DataFrame, turn: int) -> DataFrame:
         """Each member with one of its bucket: at first the one that is in most company, then others."""
@@ -217,16 +261,19 @@ class _Search:
         return [F.when(first, n).otherwise(m).alias("n"), F.when(first, m).otherwise(n).alias("m")]
 
     def crossing(self, left: DataFrame) -> DataFrame:
-        """All pairs of different components in the buckets that can be similar: small buckets by a join, large ones by blocks."""
-        x, y = left.where(F.col("m") <= FEW).alias("x"), left.where(F.col("m") <= FEW).alias("y")
-        pairs = x.join(y, "h").where((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & self.fit(F.col("x.n"), F.col("y.n")))
-        light = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).distinct()
-        blocks = F.ceil(2 * F.col("m") / BLOCK).cast("int")
+        """Links between different components in the buckets: a spanning forest of each bucket, or of each two of its blocks."""
+        sets = self.sets(left.select("node").distinct())
+        whole = left.join(self.classes.select("node", "sketch"), "node").join(sets, "node")
+        rows = F.collect_list(F.struct("node", "label", "sketch", F.size("shingles").cast("long").alias("size"), "shingles"))
+        part = lambda c: F.transform("rows", lambda r: r[c]).alias(c)
+        gathered = whole.where(F.col("w") <= LIGHT).groupBy("h", "band").agg(rows.alias("rows"))
+        light = gathered.select("band", part("node"), part("label"), part("sketch"), part("size"), F.flatten(F.transform("rows", lambda r: r["shingles"])).alias("flat"))
+        blocks = F.ceil(2 * F.col("w") / BLOCK).cast("int")
         own, other = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
-        large = left.where(F.col("m") > FEW).join(self.classes.select("node", "sketch"), "node").select("h", "node", "n", "label", "sketch", own.alias("own"), other.alias("other"))
+        large = whole.where(F.col("w") > LIGHT).select("h", "band", "node", "label", "sketch", "shingles", own.alias("own"), other.alias("other"))
         dealt = large.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")}).drop("own", "other")
-        heavy = dealt.groupBy("h", "one", "two").applyInPandas(_block_pairs(self.over, self.under), "a long, b long")
-        return self.confirmed(light).union(self.similar(cut(heavy.distinct())))
+        heavy = dealt.groupBy("h", "band", "one", "two").applyInPandas(_block_links(self.over, self.under), "a long, b long")
+        return cut(light.mapInPandas(_light_links(self.over, self.under), "a long, b long").union(heavy).distinct())
 
     def links(self) -> DataFrame | None:
         """Links that join the same classes as all links do; None if there are none."""

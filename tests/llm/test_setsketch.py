@@ -61,10 +61,10 @@ def test_query_equals_brute_force(spark, sf_dir):
     assert got(QUERIES["op13_setsketch_near_dedup"](spark, sf_dir)) == want
 
 
-@pytest.mark.parametrize("few, block, hubs", [(32, 2000, 3), (2, 40, 1), (2, 2000, 0)])
-def test_copies_that_drift(spark, monkeypatch, few, block, hubs):
+@pytest.mark.parametrize("light, block, hubs", [(65_536, 2_000_000, 3), (500, 9_000, 1), (500, 2_000_000, 0), (65_536, 2_000_000, 0)])
+def test_copies_that_drift(spark, monkeypatch, light, block, hubs):
     """A chain of near copies of which only neighbours are similar, copies of one text, and texts that share a passage."""
-    for name, value in (("FEW", few), ("BLOCK", block), ("HUBS", hubs)):
+    for name, value in (("LIGHT", light), ("BLOCK", block), ("HUBS", hubs)):
         monkeypatch.setattr(ss, name, value)
     rng = random.Random(3)
     words, some = [f"w{i}" for i in range(150)], []
