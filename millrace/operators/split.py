@@ -14,13 +14,21 @@ def turn(seed: int, order_col: str = "_rid") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(order_col).cast("string")))
 
 
-def ranked(df: DataFrame, seed: int = 42, order_col: str = "_rid") -> DataFrame:
-    """``df`` with ``_rank`` from 0 in the seeded order: ranks within 4096 hash buckets, and the buckets' offsets."""
-    keyed = df.withColumn("_turn", turn(seed, order_col)).withColumn("_bucket", F.substring("_turn", 1, 3))
+def ranks(df: DataFrame, seed: int = 42, order_col: str = "_rid") -> DataFrame:
+    """(order_col, _rank) from 0 in the seeded order: ranks within 4096 hash buckets, and the buckets' offsets.
+
+    Only the order column is dealt to the buckets.
+    """
+    keyed = df.select(order_col).withColumn("_turn", turn(seed, order_col)).withColumn("_bucket", F.substring("_turn", 1, 3))
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("n"))  # at most 4096 rows
     offsets = sizes.select("_bucket", (F.sum("n").over(Window.orderBy("_bucket")) - F.col("n")).alias("_offset"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_turn", order_col))
-    return keyed.withColumn("_rank", rank - 1).join(F.broadcast(offsets), "_bucket").withColumn("_rank", F.col("_rank") + F.col("_offset")).drop("_turn", "_bucket", "_offset")
+    return keyed.withColumn("_rank", rank - 1).join(F.broadcast(offsets), "_bucket").select(order_col, (F.col("_rank") + F.col("_offset")).alias("_rank"))
+
+
+def ranked(df: DataFrame, seed: int = 42, order_col: str = "_rid") -> DataFrame:
+    """``df`` with ``_rank`` from 0 in the seeded order of ``order_col``, which must be unique."""
+    return df.join(ranks(df, seed, order_col), order_col).select(*df.columns, "_rank")
 
 
 def shuffled(df: DataFrame, seed: int = 42, order_col: str = "_rid") -> DataFrame:
@@ -35,8 +43,10 @@ def split_column(n: int, test: float = 0.01, val: float = 0.02) -> Column:
 
 
 def assign_split(df: DataFrame, seed: int = 42, test: float = 0.01, val: float = 0.02, order_col: str = "_rid") -> DataFrame:
-    """``df`` with ``split``, sizes exact."""
-    return ranked(df, seed, order_col).withColumn("split", split_column(df.count(), test, val)).drop("_rank")
+    """``df`` with ``split``, sizes exact. Only the ids of test and val are joined to the rows; the others are train."""
+    n = df.count()
+    held = ranks(df, seed, order_col).select(order_col, split_column(n, test, val).alias("split")).where(F.col("split") != "train")
+    return df.join(held, order_col, "left").select(*df.columns, F.coalesce("split", F.lit("train")).alias("split"))
 
 
 def split(df: DataFrame, seed: int = 42, test: float = 0.01, val: float = 0.02, order_col: str = "_rid", text_col: str = "problem", method: str | None = "minhash", clean_val: bool = False) -> dict[str, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 
 from millrace.functions.text import col, let, strip
 from millrace.operators.dedup import _cut as cut
+from millrace.operators.split import ranked
 
 # The label that losses skip, and least lengths.
 IGNORED = -100
@@ -91,6 +92,38 @@ def pad_batches(df: DataFrame, batch_col: str, order_col: str, pad: int = 0) ->
     return joined.select(batch_col, order_col, fill("input_ids", pad).alias("input_ids"), fill("attention_mask", 0).alias("attention_mask"), fill("labels", IGNORED).alias("labels"))
 
 
+def length_groups(df: DataFrame, length: Column | str, batch_size: int = 8, mega: int | None = None, seed: int = 42, order_col: str = "_rid") -> DataFrame:
+    """(order_col, length, mega, batch, place): batches of about equal lengths in a seeded order.
+
+    The seeded order is cut to mega-batches of ``mega`` batches (None: a quarter of all, 1 to 50); within each the longest rows come
+    first, ties in the seeded order. The longest row of all changes places with the very first, so that the first batch shows
+    whether memory is enough. A window holds a mega-batch, whatever the number of rows.
+    """
+    sized = df.select(order_col, col(length).cast("long").alias("length"))
+    n = sized.count()
+    mega = mega or min(max(n // (4 * batch_size), 1), 50)
+    drawn = ranked(sized, seed, order_col).withColumn("mega", F.floor(F.col("_rank") / (batch_size * mega)))
+    own = Window.partitionBy("mega").orderBy(F.col("length").desc_nulls_last(), "_rank")
+    placed = cut(drawn.withColumn("place", F.row_number().over(own).cast("long") - 1).drop("_rank"))
+    longest = placed.where("place = 0").agg(F.max_by("mega", F.struct("length", -F.col("mega"))).alias("_longest"))  # one row
+    swapped = F.when(F.col("place") > 0, F.col("mega")).when(F.col("mega") == 0, F.col("_longest")).when(F.col("mega") == F.col("_longest"), 0).otherwise(F.col("mega"))
+    out = placed.join(F.broadcast(longest)).withColumn("mega", swapped)
+    return out.select(order_col, "length", "mega", (F.col("mega") * mega + F.floor(F.col("place") / batch_size)).alias("batch"), "place")
+
+
+def in_batches(df: DataFrame, groups: DataFrame, order_col: str = "_rid") -> DataFrame:
+    """``df`` with mega, batch and place of ``length_groups``, laid out in that order by ranges: files, read in order, give the batches."""
+    joined = df.join(groups.select(order_col, "mega", "batch", "place"), order_col)
+    return joined.repartitionByRange("mega", "place").sortWithinPartitions("mega", "place")
+
+
+def batch_padding(groups: DataFrame) -> DataFrame:
+    """Of each batch: rows, the longest one, and the tokens that padding adds."""
+    known = F.coalesce("length", F.lit(0))
+    out = groups.groupBy("batch").agg(F.count("*").alias("n_rows"), F.max(known).alias("longest"), F.sum(known).alias("n_tokens"))
+    return out.withColumn("padding", F.col("n_rows") * F.col("longest") - F.col("n_tokens"))
+
+
 def throughput(log: DataFrame, run_col: str = "run", step_col: str = "step", tokens_col: str = "tokens", time_col: str = "time") -> DataFrame:
     """``log`` with tokens_per_second since the run's last row; null on its first."""
     w = Window.partitionBy(run_col).orderBy(step_col)

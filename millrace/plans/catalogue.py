@@ -6,13 +6,17 @@ expressions are plain SQL that both engines read alike, and the same text serves
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import relevance_values as V
 from millrace.functions import text as X
-from millrace.operators import dedup, relevance, scores
+from millrace.operators import dedup, relevance, scores, tokens
 from millrace.operators import split as splits
+from millrace.operators.near_index import NearIndex
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -243,6 +247,21 @@ def decontaminate_minhash(spark, sf_dir):
     return dedup.decontaminate_near(docs.where("source <> 'src1'"), docs.where("source = 'src1'"), "text", "doc_id").select("doc_id")
 
 
+@query()
+def index_minhash(spark, sf_dir):
+    """Two halves of the documents in turn, the second held against the index that the first left: the same rows as at once."""
+    docs = table(spark, sf_dir, "documents")
+    half = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0] or 0
+    path = f"{dedup.shared_folder(spark)}/near-index-{uuid.uuid4().hex}"
+    kept = None
+    for run, part in (("first", docs.where(F.col("doc_id") <= half)), ("second", docs.where(F.col("doc_id") > half))):
+        index = NearIndex(spark, path)
+        some = dedup._cut(index.add(part, run, "text", "doc_id").select("doc_id"))
+        kept = some if kept is None else kept.union(some)
+        index.close()
+    return kept
+
+
 # ---- order and splits ------------------------------------------------------------------------------------------------
 
 SPLIT = """(SELECT doc_id, CASE WHEN r < greatest(1, n // 100) THEN 'test' WHEN r < greatest(1, n // 100) + greatest(1, n * 2 // 100) THEN 'val' ELSE 'train' END AS split
@@ -269,6 +288,38 @@ def head_rows(spark, sf_dir):
     return splits.head(table(spark, sf_dir, "documents"), 100, "doc_id").select("doc_id")
 
 
+@query(
+    f"""WITH d AS (SELECT doc_id, split, {sql_key("text")} AS k FROM {SPLIT} JOIN (SELECT doc_id, coalesce(text, '') AS text FROM documents) USING (doc_id))
+    SELECT doc_id, split FROM d WHERE split = 'test' OR split = 'val' AND k NOT IN (SELECT k FROM d WHERE split = 'test') OR split = 'train' AND k NOT IN (SELECT k FROM d WHERE split <> 'train')"""
+)
+def split_clean(spark, sf_dir):
+    """A split of documents with their copies still in: decontamination takes those of test and val out of train, and of test out of val."""
+    parts = splits.split(table(spark, sf_dir, "documents"), order_col="doc_id", text_col="text", method="exact", clean_val=True)
+    return reduce(DataFrame.union, [df.select("doc_id", F.lit(name).alias("split")) for name, df in parts.items()])
+
+
+BATCHES = """(WITH r AS (SELECT doc_id, length, r // (16 * mult) AS m, r, mult FROM (SELECT doc_id, length(text) AS length, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) - 1 AS r, least(greatest(count(*) OVER () // 64, 1), 50) AS mult FROM documents)),
+    p AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY length DESC NULLS LAST, r) - 1 AS place FROM r),
+    l AS (SELECT m AS lm FROM p WHERE place = 0 ORDER BY length DESC NULLS LAST, m LIMIT 1),
+    s AS (SELECT doc_id, length, mult, place, CASE WHEN place > 0 THEN m WHEN m = 0 THEN lm WHEN m = lm THEN 0 ELSE m END AS mega FROM p, l)
+    SELECT doc_id, length, mega, mega * mult + place // 16 AS batch, place FROM s)"""
+
+
+def _batches(spark, sf_dir) -> DataFrame:
+    return tokens.length_groups(table(spark, sf_dir, "documents"), F.length("text"), 16, seed=7, order_col="doc_id")
+
+
+@query(f"SELECT doc_id, length, mega, batch, place FROM {BATCHES}")
+def length_batches(spark, sf_dir):
+    return _batches(spark, sf_dir)
+
+
+@query(f"SELECT batch, count(*) AS n_rows, coalesce(max(length), 0) AS longest, CAST(coalesce(sum(length), 0) AS BIGINT) AS n_tokens, CAST(n_rows * longest - n_tokens AS BIGINT) AS padding FROM {BATCHES} GROUP BY batch")
+def length_padding(spark, sf_dir):
+    """What padding each batch to its longest row costs."""
+    return tokens.batch_padding(_batches(spark, sf_dir))
+
+
 # ---- relevance -------------------------------------------------------------------------------------------------------
 
 MARKS = (

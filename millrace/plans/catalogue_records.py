@@ -491,7 +491,9 @@ def corpus_meta(spark, sf_dir):
     """The whole plan over two sources made of the documents, with exact keys: counts by stage."""
     raw = made(spark, sf_dir, RAW).selectExpr("doc_id AS _rid", "a AS question", "b AS problem", "b AS text", "sj AS solutions", "sj AS answer", "ej AS input_output", "lev AS difficulty", "tg AS tags", "src")
     parts = {"taco": raw.where("src < 'src5'"), "project_euler": raw.where("src >= 'src5'")}
-    return build({name: df.drop("src") for name, df in parts.items()}, Options(method="exact"))["meta"]
+    built = build({name: df.drop("src") for name, df in parts.items()}, Options(method="exact"))
+    built.discard()  # the counts are known
+    return built["meta"]
 
 
 @query(f"SELECT count(*) AS n_preprocessed, count(*) FILTER (WHERE {sql_cp()}) AS n_filtered FROM {same(MARKS)} WHERE {sql_squeezed('t')} <> ''")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.dedup import dedup_near
+from millrace.operators.dedup import dedup_near, shared_folder
 from millrace.operators.formats import cp_document, cp_pair, se_document, se_pair
 from millrace.operators.relevance import cap_solutions, cp_filter, se_filter
 from millrace.operators.split import split
@@ -41,24 +42,66 @@ def records(raw: Mapping[str, DataFrame], options: Options) -> DataFrame:
     return union(parts)
 
 
-def build(raw: Mapping[str, DataFrame], options: Options | None = None) -> dict[str, DataFrame]:
-    """train, val and test records, and meta, a row of counts by stage. Raw frames carry ``_rid``, their order."""
+class Built(dict):
+    """The parts by name, on tables in the shared folder, and what the jobs that wrote these counted on the way.
+
+    Counts are taken in the last stage of a writing job, whose tasks count once however often they are run. ``discard`` deletes
+    the tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        super().__init__()
+        self.spark, self.counts, self._seen, self._paths = spark, {}, [], []
+
+    def counting(self, df: DataFrame, **counts: Column) -> DataFrame:
+        """``df``, to be counted by the job that stores it."""
+        seen = Observation()
+        self._seen.append((seen, list(counts)))
+        return df.observe(seen, *(c.alias(k) for k, c in counts.items()))
+
+    def store(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/corpus-{uuid.uuid4().hex}"
+        self._paths.append(path)
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.parquet(path)
+        for seen, names in self._seen:
+            found = seen.get
+            self.counts |= {k: found.get(k) or 0 for k in names}
+        self._seen = []
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def discard(self) -> None:
+        for path in self._paths:
+            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        self._paths = []
+
+
+def build(raw: Mapping[str, DataFrame], options: Options | None = None) -> Built:
+    """train, val and test records, and meta, a row of counts by stage. Raw frames carry ``_rid``, their order.
+
+    Each stage is stored once and counts what goes through it; nothing is made twice for its count.
+    """
     o = options or Options()
     cp = o.domain == "cp"
     text = o.text_col or ("problem" if cp else "instruction")
+    every = F.count(F.lit(1))
     normal = records(raw, o)
-    relevant = normal.transform((cp_filter if cp else se_filter)(need_signal=o.need_signal))
+    built = Built(normal.sparkSession)
+    relevant = built.counting(normal, n_preprocessed=every).transform((cp_filter if cp else se_filter)(need_signal=o.need_signal))
     if cp:
         relevant = cap_solutions(relevant, o.solutions)
-    unique = dedup_near(relevant, text, "_rid", o.threshold, o.method).persist()
+    relevant = built.store(built.counting(relevant, n_filtered=every))
+    unique = built.store(built.counting(dedup_near(relevant, text, "_rid", o.threshold, o.method), n_deduplicated=every))
     parts = split(unique, o.seed, o.test, o.val, "_rid", text, o.method, o.clean_val)
-    sizes = {"preprocessed": normal, "filtered": relevant, "deduplicated": unique, **parts}
-    counts = [df.agg(F.count("*").alias(f"n_{k}")) for k, df in sizes.items()]
-    meta = counts[0]
-    for c in counts[1:]:
-        meta = meta.join(F.broadcast(c))  # single rows
+    marked = [df.withColumn("_part", F.lit(k)) for k, df in parts.items()]
+    final = built.store(built.counting(union(marked), **{f"n_{k}": F.count_if(F.col("_part") == k) for k in parts}), by="_part")
+    for k in parts:
+        built[k] = final.where(F.col("_part") == k).drop("_part")
     given = {k: v for k, v in asdict(o).items() if k in ("threshold", "seed", "method")}
-    return parts | {"meta": meta.select(F.lit(",".join(raw)).alias("sources"), *[F.lit(v).alias(k) for k, v in given.items()], "*")}
+    row = {"sources": ",".join(raw), **given, **{k: F.lit(n).cast("long") for k, n in built.counts.items()}}
+    built["meta"] = built.spark.range(1).select(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in row.items()))
+    return built
 
 
 def write(built: Mapping[str, DataFrame], path: str, options: Options | None = None) -> None:
@@ -78,5 +121,9 @@ def prepare(raw: Mapping[str, DataFrame], path: str, options: Options | None = N
     spark = next(iter(raw.values())).sparkSession
     if all(written(spark, f"{path}/{name}") for name in OUTPUTS):
         return False
-    write(build(raw, options), path, options)
+    built = build(raw, options)
+    try:
+        write(built, path, options)
+    finally:
+        built.discard()
     return True

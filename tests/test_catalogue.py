@@ -41,6 +41,16 @@ def test_minhash_keeps_about_what_similarity_keeps(spark, sf):
     assert len(exact ^ greedy) <= 5 and exact <= verified
 
 
+def test_index_keeps_what_one_run_keeps(spark, sf):
+    ids = lambda name: sorted(r.doc_id for r in catalogue.QUERIES[name](spark, sf).collect())
+    assert ids("index_minhash") == ids("dedup_minhash")
+
+
+def test_decontamination_takes_rows(spark, sf):
+    parts = catalogue.QUERIES["split_clean"](spark, "/root/testdata/sf0.01").groupBy("split").count().collect()
+    assert 0 < sum(r["count"] for r in parts) < 1000
+
+
 def test_plan_counts(spark, sf):
     r = catalogue.QUERIES["corpus_meta"](spark, sf).collect()[0]
     assert r.n_preprocessed >= r.n_filtered >= r.n_deduplicated >= r.n_train + r.n_val + r.n_test

@@ -5,7 +5,7 @@ import json
 
 import pytest
 from millrace.functions import extract, text
-from millrace.operators import dedup, formats, programs, relevance, scores, split, tokens, verify
+from millrace.operators import dedup, formats, near_index, programs, relevance, scores, split, tokens, verify
 from millrace.plans.corpus import Options, build, prepare
 from millrace.sources import normalize, readers
 from pyspark.sql import functions as F
@@ -279,3 +279,53 @@ def test_reports(spark):
     assert [r.skipped for r in scores.mark_skipped(problems).collect()] == [True, True, False]
     names = spark.createDataFrame([("qwen2.5-coder-7b",), ("own",)], "m string").select(text.alias("m", readers.MODEL_NAMES).alias("m")).collect()
     assert [r.m for r in names] == ["Qwen/Qwen2.5-Coder-7B", "own"]
+
+
+def test_index_outlives_a_run(spark, tmp_path):
+    """Runs in turn keep what one run over all keeps; a run that is repeated adds nothing; rows without shingles stay."""
+    words = lambda i: " ".join(f"w{(i * 7 + k) % 90}" for k in range(60))
+    rows = [(i, words(i // 3) + (f" x{i}" if i % 3 == 1 else "")) for i in range(60)] + [(60, ""), (61, None), (62, "")]
+    df = spark.createDataFrame(rows, "_rid long, problem string")
+    whole = {r._rid for r in dedup.dedup_near(df).collect()}
+    got, path = set(), str(tmp_path / "index")
+    for run in range(4):
+        index = near_index.NearIndex(spark, path, 4)
+        part = df.where(f"_rid div 16 = {run}")
+        kept = {r._rid for r in index.add(part, str(run)).collect()}
+        assert {r._rid for r in index.add(part, str(run)).collect()} == kept
+        hits = {r._rid for r in index.hits(part).collect()}
+        assert {r._rid for r in part.collect()} - hits <= kept
+        got |= kept
+        assert index.rows().select("id").distinct().count() == len(got)
+        index.close()
+    assert got == whole and {60, 61, 62} <= got < {r[0] for r in rows}
+    index = near_index.NearIndex(spark, path, 4)
+    plan = index._hashes(dedup.signatures(df, "_rid", "problem").withColumnRenamed("_rid", "id")).hint("merge").join(index.rows().select("h"), "h", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    index.close()
+
+
+def test_length_groups(spark):
+    rows = [(i, i * 37 % 101 if i % 10 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "_rid long, n int").repartition(3)
+    got = tokens.length_groups(df, "n", 4, 5)
+    by = sorted((r.mega, r.place, -1 if r.length is None else r.length, r.batch) for r in got.collect())
+    assert [m for m, *_ in by] == [i // 20 for i in range(100)] and by[0][2] == max(n or 0 for _, n in rows)
+    for m in range(5):
+        inside = [x[2] for x in by if x[0] == m]
+        assert inside[1:] == sorted(inside[1:], reverse=True) and [x[3] for x in by if x[0] == m] == [m * 5 + i // 4 for i in range(20)]
+    padded = sum(r.padding for r in tokens.batch_padding(got).collect())
+    drawn = split.ranked(df).withColumn("batch", F.floor(F.col("_rank") / 4)).withColumn("length", F.col("n"))
+    assert 3 * padded < sum(r.padding for r in tokens.batch_padding(drawn).collect())
+    laid = tokens.in_batches(df, got)
+    assert [(r.mega, r.place) for r in laid.collect()] == [(m, p) for m, p, *_ in by]
+    assert tokens.length_groups(df.limit(0), "n").isEmpty()
+
+
+def test_counts_of_nothing(spark):
+    """A source without rows: all counts are 0."""
+    raw = {"taco": spark.createDataFrame([], "_rid long, question string, solutions string, input_output string, difficulty string, tags string")}
+    built = build(raw, Options(method="exact"))
+    r = built["meta"].first()
+    assert (r.n_preprocessed, r.n_filtered, r.n_deduplicated, r.n_train, r.n_val, r.n_test) == (0, 0, 0, 0, 0, 0) and built["train"].isEmpty()
+    built.discard()
