@@ -109,20 +109,19 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def _texts(least: int) -> Column:
-    """Whether rows have at least ``least`` different texts, by the classes of their hashes (aggregate)."""
-    return F.expr(f"bit_count(bit_or(shiftleft(1L, cast(pmod(body, 64) as int)))) >= {least}")
-
-
 def _disclosing(docs: DataFrame, rows: DataFrame, min_texts: int, threshold: float) -> tuple[DataFrame, DataFrame] | None:
-    """(entity, term, disclosure) at or over the threshold, and the pairs of the documents; None if no term has the support."""
-    hits = rows.where(F.size("entities") > 0).select("_k", "_sig", "body", "terms", F.explode("entities").alias("entity"))
-    strong = hits.groupBy("entity").agg(F.count("*").alias("n_e"), _texts(min_texts).alias("ok")).where("ok").select("entity", "n_e")
+    """(entity, term, disclosure) at or over the threshold, and (body, entity, term) of the texts; None if no term has the support.
+
+    Different texts are taken once, with the number of their rows, so that rows and texts are counted by one aggregate.
+    """
+    texts = rows.where(F.size("entities") > 0).groupBy("body").agg(F.count("*").alias("n"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    hits = texts.select("body", "n", "terms", F.explode("entities").alias("entity"))
+    strong = hits.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("texts")).where(F.col("texts") >= min_texts).select("entity", "n_e")
     strong = cut(strong)
     if strong.isEmpty():
         return None
-    pairs = hits.join(small(strong), "entity").select("entity", "n_e", "_k", "_sig", "body", F.explode("terms").alias("term"))
-    able = pairs.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"), _texts(min_texts).alias("ok")).where("ok").drop("ok")
+    pairs = hits.join(small(strong), "entity").select("entity", "n_e", "body", "n", F.explode("terms").alias("term"))
+    able = pairs.groupBy("entity", "n_e", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= min_texts).drop("texts")
     able = cut(able)
     if able.isEmpty():
         return None
@@ -175,7 +174,8 @@ def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         rows = rows.withColumn("_term", F.array().cast(span))
     else:
         disclosing, pairs = found
-        listed = cut(pairs.join(small(disclosing), ["entity", "term"]).select("_k", "_sig", "term").distinct())
+        told = pairs.join(small(disclosing), ["entity", "term"]).select("body", "term").distinct()
+        listed = cut(rows.where(F.size("entities") > 0).select("_k", "_sig", "body").distinct().join(small(told), "body").select("_k", "_sig", "term"))
         suspects = base.join(small(listed.select("_k", "_sig").distinct()), ["_k", "_sig"], "left_semi").dropDuplicates(["_k", "_sig"])
         at = suspects.select("_k", "_sig", F.explode(_found(F.col("text"), TERM)).alias("x")).select("_k", "_sig", F.lower("x.value").alias("term"), "x.start", "x.end")
         marks = at.join(small(listed), ["_k", "_sig", "term"]).groupBy("_k", "_sig").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_term"))  # of one text

@@ -102,6 +102,16 @@ def test_search_against_brute_force(spark):
     assert shift.get(205) == -3
 
 
+def test_good_audio_under_null_ids_and_clashing_columns(spark):
+    """A class all of whose ids are null is found, by codes and marks of its own; extra columns do no harm."""
+    rows = [(50, render(tune(3))), (None, noisy(render(tune(3)), 1)), (None, render(tune(4))), (7, render(tune(5)))]
+    df = spark.createDataFrame([(*r, 1, "p", [2]) for r in rows], "vec_id long, audio binary, id int, print string, codes array<int>").repartition(2)
+    got = align(df, id_col="vec_id", audio_col="audio").collect()
+    (asked,) = [r for r in got if r.is_query]
+    assert [m.class_id for m in asked.matches] == [None] and asked.matches[0].bit_error < 0.2
+    assert sorted(str(r.class_id) for r in got) == ["50", "7", "None", "None"] and all(r.n_codes for r in got)
+
+
 def test_table_rows(spark, sf):
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet").limit(60)
     extra = spark.createDataFrame([(900, None, 0), (901, [], 0)], "vec_id long, embedding array<float>, label int")

@@ -124,3 +124,12 @@ def test_empty_and_native(spark, sf):
     assert personal_data(cases.empty(spark)).count() == 0
     plan = personal_data(cases.documents(spark, sf))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_support_is_counted_exactly(spark):
+    """400 entities with five different texts each, none is lost; with four, and with four and a copy, all are."""
+    rows = [(i * 10 + k, f"mail u{i}@h{i}.org about nickname{i} case n{k if i < 400 or k < 4 else 0}") for i in range(500) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = disclosing_terms(docs, threshold=0.5).where("entity like 'email:%' and term like 'nickname%'").collect()
+    assert sorted(r.entity for r in found) == sorted(f"email:u{i}@h{i}.org" for i in range(400))
+    assert all(r.entity[7:].split("@")[0] == r.term[8:] for r in found)
