@@ -29,7 +29,7 @@ BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 #: A pair is left out if the wanted similarities are less likely than others by this factor's logarithm.
 HOPELESS = 18.0
-#: Buckets whose sets together have more shingles than LIGHT are dealt to tasks by blocks, together some BLOCK shingles.
+#: Groups whose sets together have more shingles than LIGHT are dealt to tasks by blocks, together some BLOCK shingles.
 LIGHT, BLOCK = 65_536, 2_000_000
 #: Times that each member of a bucket is held against one of another component, before all pairs of components are.
 HUBS = 3
@@ -149,7 +149,7 @@ def _sizes_fit(n, m, over: int, under: int):
 def _forest(band: int, node: np.ndarray, label: np.ndarray, made: np.ndarray, size: np.ndarray, flat: np.ndarray, over: int, under: int) -> np.ndarray:
     """Links (a, b) that join the components ``label`` as all links of the classes given do.
 
-    A pair is looked at only if ``band`` is the first that it shares. Classes outside the largest component are taken
+    A pair is looked at only if ``band`` is the first that it shares, or with -1 if it shares any. Classes outside the largest component are taken
     one at a time: bounds by sizes and sketches first, then what their sets share with all that is left, at once.
     """
     node, at = np.unique(node, return_index=True)
@@ -165,7 +165,7 @@ def _forest(band: int, node: np.ndarray, label: np.ndarray, made: np.ndarray, si
         some = np.nonzero((label != label[i]) & _sizes_fit(n, n[i], over, under))[0]
         if len(some):
             same = (bands[some] == bands[i]).all(axis=2)
-            some = some[same[:, band] & ~same[:, :band].any(axis=1)]
+            some = some[same.any(axis=1) if band < 0 else same[:, band] & ~same[:, :band].any(axis=1)]
         if len(some):
             sizes = np.full(len(some), n[i], float), n[some].astype(float)
             some = some[hopeful((made[i] > made[some]).sum(axis=1), (made[i] < made[some]).sum(axis=1), *sizes, over, under)]
@@ -260,19 +260,33 @@ class _Search:
         first = F.col(x) < F.col(y)
         return [F.when(first, n).otherwise(m).alias("n"), F.when(first, m).otherwise(n).alias("m")]
 
+    def groups(self, left: DataFrame) -> DataFrame:
+        """(g, band, w, node, label): what has to be compared, with the shingles in each group.
+
+        Buckets that overlap are one group, in which any shared band counts (band -1), if half a block holds it; so its
+        members are sent once and not with each bucket. Of more, each bucket is a group.
+        """
+        hubs = left.groupBy("h").agg(F.min("node").alias("b"))
+        joined = components(left.join(hubs, "h").select(F.col("node").alias("a"), "b")).select("node", F.col("root").alias("g"))
+        nodes = cut(left.select("node", "n", "label").distinct().join(joined, "node"))
+        sizes = cut(nodes.groupBy("g").agg(F.sum("n").alias("w")))
+        few = nodes.join(sizes.where(F.col("w") <= BLOCK // 2), "g").select("g", F.lit(-1).alias("band"), "w", "node", "label")
+        many = nodes.join(sizes.where(F.col("w") > BLOCK // 2).select("g"), "g").select("node")
+        return few.union(left.join(many, "node").select(F.col("h").alias("g"), "band", "w", "node", "label"))
+
     def crossing(self, left: DataFrame) -> DataFrame:
-        """Links between different components in the buckets: a spanning forest of each bucket, or of each two of its blocks."""
-        sets = self.sets(left.select("node").distinct())
-        whole = left.join(self.classes.select("node", "sketch"), "node").join(sets, "node")
+        """Links between different components of what is left: a spanning forest of each group, or of each two of its blocks."""
+        sets = self.sets(left.select("node").distinct()).join(self.classes.select("node", "sketch"), "node")
+        whole = self.groups(left).join(sets, "node")
         rows = F.collect_list(F.struct("node", "label", "sketch", F.size("shingles").cast("long").alias("size"), "shingles"))
         part = lambda c: F.transform("rows", lambda r: r[c]).alias(c)
-        gathered = whole.where(F.col("w") <= LIGHT).groupBy("h", "band").agg(rows.alias("rows"))
+        gathered = whole.where(F.col("w") <= LIGHT).groupBy("g", "band").agg(rows.alias("rows"))
         light = gathered.select("band", part("node"), part("label"), part("sketch"), part("size"), F.flatten(F.transform("rows", lambda r: r["shingles"])).alias("flat"))
         blocks = F.ceil(2 * F.col("w") / BLOCK).cast("int")
         own, other = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
-        large = whole.where(F.col("w") > LIGHT).select("h", "band", "node", "label", "sketch", "shingles", own.alias("own"), other.alias("other"))
+        large = whole.where(F.col("w") > LIGHT).select("g", "band", "node", "label", "sketch", "shingles", own.alias("own"), other.alias("other"))
         dealt = large.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")}).drop("own", "other")
-        heavy = dealt.groupBy("h", "band", "one", "two").applyInPandas(_block_links(self.over, self.under), "a long, b long")
+        heavy = dealt.groupBy("g", "band", "one", "two").applyInPandas(_block_links(self.over, self.under), "a long, b long")
         return cut(light.mapInPandas(_light_links(self.over, self.under), "a long, b long").union(heavy).distinct())
 
     def links(self) -> DataFrame | None:
