@@ -11,10 +11,10 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import hash_key, shingles
+from millrace.functions.text import hash_key, let, shingles
 
 PERMUTATIONS = 128
 #: Bands and rows a band that best tell Jaccard similarity .85 at 128 permutations.
@@ -52,36 +52,56 @@ def decontaminate_exact(train: DataFrame, test: DataFrame, text_col: str = "prob
     return train.withColumn("_key", key(text_col)).join(held, "_key", "left_anti").select(*train.columns)
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(1)
-    return rng.integers(1, 2**31 - 1, PERMUTATIONS, dtype=np.int64), rng.integers(0, 2**31 - 1, PERMUTATIONS, dtype=np.int64)
+PRIME = 2**31 - 1
+
+
+def permutations() -> list[tuple[int, int]]:
+    """(a, b) of the permutations h -> (a * h + b) % PRIME, by a rule: plain whole numbers, the same in any engine."""
+    x, out = 1, []
+    for _ in range(2 * PERMUTATIONS):
+        x = x * 48_271 % PRIME
+        out.append(x)
+    return list(zip(out[::2], out[1::2]))
 
 
 def _banded(frames):
-    """Rows (id, set) with the band hashes of their sets; none for an empty set."""
-    a, b = _permutations()
+    """Rows with the band hashes of the shingle hashes ``low``, which go; none for an empty set."""
+    a, b = np.array(permutations(), np.int64).T
     mix = np.random.default_rng(2).integers(1, 2**62, ROWS, dtype=np.int64).astype(np.uint64)
     for frame in frames:
         out = []
-        for s in frame["set"]:
+        for s in frame["low"]:
             if not len(s):
                 out.append([])
                 continue
-            h = np.asarray(s, np.int64) & 0x7FFFFFFF
+            h = np.asarray(s, np.int64)
             least = np.full(PERMUTATIONS, np.iinfo(np.int64).max)
-            for i in range(0, len(h), 4096):
-                np.minimum(least, ((h[i : i + 4096, None] * a[None] + b[None]) % (2**31 - 1)).min(axis=0), out=least)
+            for i in range(0, len(h), 1024):
+                np.minimum(least, ((h[i : i + 1024, None] * a[None] + b[None]) % PRIME).min(axis=0), out=least)
             with np.errstate(over="ignore"):
                 out.append((least.reshape(BANDS, ROWS).astype(np.uint64) * mix).sum(axis=1, dtype=np.uint64).view(np.int64).tolist())
-        yield frame.assign(bands=pd.Series(out, index=frame.index, dtype=object))
+        yield frame.drop(columns="low").assign(bands=pd.Series(out, index=frame.index, dtype=object))
+
+
+def _low(x: Column) -> Column:
+    """31 bits of a shingle's MD5."""
+    return F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long").bitwiseAND(PRIME).cast("int")
 
 
-def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, set, bands): hashes of the shingles of the hash key, and their MinHash bands."""
+def shingle_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, set): hashes of the shingles of the hash key."""
     key = hash_key(F.coalesce(F.col(text_col), F.lit("")))
-    sets = df.select(F.col(id_col).alias("id"), key.alias("k")).select("id", F.transform(shingles("k"), lambda x: F.xxhash64(x)).alias("set"))
+    return df.select(F.col(id_col).alias("id"), key.alias("k")).select("id", F.transform(shingles("k"), lambda x: F.xxhash64(x)).alias("set"))
+
+
+def signatures(df: DataFrame, id_col: str, text_col: str, sets: bool = False) -> DataFrame:
+    """(id, bands): MinHash bands of the shingles of the hash key; with ``sets`` also set, the hashes of all of them."""
+    key = hash_key(F.coalesce(F.col(text_col), F.lit("")))
+    low = lambda s: F.transform(s, _low).alias("low")
+    made = let(shingles("k"), lambda s: F.struct(low(s), *([F.transform(s, lambda x: F.xxhash64(x)).alias("set")] if sets else [])))
+    rows = df.select(F.col(id_col).alias("id"), key.alias("k")).select("id", made.alias("m")).select("id", "m.*")
     kind = df.schema[id_col].dataType.simpleString()
-    return sets.mapInPandas(_banded, f"id {kind}, set array<long>, bands array<long>")
+    return rows.mapInPandas(_banded, f"id {kind}, " + ("set array<long>, " if sets else "") + "bands array<long>")
 
 
 def _firsts(signed: DataFrame, by: str) -> DataFrame:
@@ -95,30 +115,54 @@ def _firsts(signed: DataFrame, by: str) -> DataFrame:
 
 def _members(signed: DataFrame) -> DataFrame:
     """(id, bucket): the buckets of each row's bands."""
-    return signed.select("id", F.posexplode("bands").alias("band", "h")).select("id", F.struct("band", "h").alias("bucket"))
+    return signed.select("id", F.posexplode("bands").alias("band", "h")).select("id", F.xxhash64("band", "h").alias("bucket"))
+
 
+#: Once at most so many rows of a greedy choice are open, one task ends it.
+ONE_TASK = 500_000
 
-def keep_first_of_buckets(ids: DataFrame, members: DataFrame, max_rounds: int = 1000) -> DataFrame:
+
+def _gone(frames, two: str):
+    """Of all (id, two) given, two being a bucket or a lower row, the ids that the greedy rule drops."""
+    rows = pd.concat(list(frames) or [pd.DataFrame({"id": [], two: []})]).sort_values("id", kind="stable")
+    gone, taken = [], set()
+    if two == "bucket":
+        for i, buckets in rows.groupby("id", sort=False)[two]:
+            if taken.isdisjoint(buckets):
+                taken.update(buckets)
+            else:
+                gone.append(i)
+    else:
+        for i, lower in rows.groupby("id", sort=False)[two]:
+            if not taken.issuperset(lower):
+                taken.add(i)
+                gone.append(i)
+    yield pd.DataFrame({"id": gone})
+
+
+def keep_first_of_buckets(ids: DataFrame, members: DataFrame, one_task: int | None = None) -> DataFrame:
     """The greedy rule where rows meet in buckets: a row goes if one of its buckets has a kept row with a lower id.
 
-    Rounds work on the least kept and least undecided id of each bucket, so a bucket costs its rows, not their pairs.
+    In each round the rows that come first in all their buckets are kept, what else is in these goes, and neither is open any
+    more. A bucket costs its rows, not their pairs. Once ``one_task`` rows at most are open, one task ends it, so the number
+    of rounds does not follow chains of copies.
     """
+    one_task = ONE_TASK if one_task is None else one_task
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    meeting = _cut(members.join(shared, "bucket", "left_semi"))
-    state = _cut(meeting.select("id").distinct().withColumn("kept", F.lit(None).cast("boolean")))
-    for _ in range(max_rounds):
-        if state.where("kept is null").isEmpty():
-            break
-        now = meeting.join(state, "id")
-        least = now.groupBy("bucket").agg(F.min(F.when(F.col("kept"), F.col("id"))).alias("first_kept"), F.min(F.when(F.col("kept").isNull(), F.col("id"))).alias("first_open"))
-        seen = now.where("kept is null").join(least, "bucket").groupBy("id").agg(
-            F.max(F.coalesce(F.col("first_kept") < F.col("id"), F.lit(False))).alias("hit"), F.min(F.col("first_open") == F.col("id")).alias("free")
-        )
-        told = F.when(F.col("hit"), False).when(F.col("free"), True)
-        state = _cut(state.join(seen, "id", "left").select("id", F.coalesce("kept", told).alias("kept")))
-    else:
-        raise RuntimeError(f"keep_first_of_buckets: undecided rows after {max_rounds} rounds")
-    return ids.join(state.where("not kept").select("id"), "id", "left_anti")
+    open_ = _cut(members.join(shared, "bucket", "left_semi"))
+    kind, gone = members.schema["id"].dataType.simpleString(), None
+    while (n := open_.count()) > one_task:
+        first = open_.groupBy("bucket").agg(F.min("id").alias("first"))
+        marked = _cut(open_.join(first, "bucket"))
+        free = marked.groupBy("id").agg(F.min(F.col("first") == F.col("id")).alias("free")).where("free").select("id")
+        taken = marked.where("id = first").join(free, "id", "left_semi").select("bucket")
+        done = _cut(marked.join(taken, "bucket", "left_semi").groupBy("id").agg(F.max(F.col("first") == F.col("id")).alias("kept")))
+        gone = done.where("not kept").select("id") if gone is None else gone.union(done.where("not kept").select("id"))
+        open_ = _cut(open_.join(done.select("id"), "id", "left_anti"))
+    if n:
+        last = open_.coalesce(1).mapInPandas(lambda frames: _gone(frames, "bucket"), f"id {kind}")
+        gone = last if gone is None else gone.union(last)
+    return ids if gone is None else ids.join(gone, "id", "left_anti")
 
 
 def band_edges(signed: DataFrame) -> DataFrame:
@@ -156,25 +200,25 @@ def similar_pairs(left: DataFrame, right: DataFrame | None, threshold: float) ->
     return scored.where(F.col("similarity") >= threshold)
 
 
-def keep_first(ids: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def keep_first(ids: DataFrame, edges: DataFrame, one_task: int | None = None) -> DataFrame:
     """Of ``ids`` (id) those the greedy rule keeps: a row goes if a kept one with a lower id has an edge (lo, hi) to it.
 
-    Only rows with edges take part in the rounds: rows none of whose lower neighbours is undecided are decided, until
-    all are. Rounds are cut to the shared folder; a round per link of the longest rising chain of near copies.
+    In each round rows without a lower neighbour are kept and their higher ones go, with all edges of both. Once
+    ``one_task`` edges at most are left, one task ends it.
     """
-    links = _cut(edges.select("lo", "hi").distinct())
-    state = _cut(links.select(F.col("lo").alias("id")).union(links.select("hi")).distinct().select("id", F.lit(None).cast("boolean").alias("kept")))
-    for _ in range(max_rounds):
-        if state.where("kept is null").isEmpty():
-            break
-        lower = links.join(state.withColumnRenamed("id", "lo"), "lo").groupBy(F.col("hi").alias("id")).agg(
-            F.max(F.coalesce("kept", F.lit(False))).alias("hit"), F.max(F.col("kept").isNull()).alias("open")
-        )
-        told = F.when(F.coalesce("hit", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
-        state = _cut(state.join(lower, "id", "left").select("id", F.coalesce("kept", told).alias("kept")))
-    else:
-        raise RuntimeError(f"keep_first: undecided rows after {max_rounds} rounds")
-    return ids.join(state.where("not kept").select("id"), "id", "left_anti")
+    one_task = ONE_TASK if one_task is None else one_task
+    open_ = _cut(edges.select("lo", "hi").distinct())
+    kind, gone = edges.schema["lo"].dataType.simpleString(), None
+    while (n := open_.count()) > one_task:
+        free = open_.join(open_.select(F.col("hi").alias("lo")).distinct(), "lo", "left_anti")
+        now = _cut(free.select(F.col("hi").alias("id")).distinct())
+        gone = now if gone is None else gone.union(now)
+        left = open_.join(now.withColumnRenamed("id", "lo"), "lo", "left_anti").join(now.withColumnRenamed("id", "hi"), "hi", "left_anti")
+        open_ = _cut(left.select("lo", "hi"))
+    if n:
+        last = open_.select(F.col("hi").alias("id"), "lo").coalesce(1).mapInPandas(lambda frames: _gone(frames, "lo"), f"id {kind}")
+        gone = last if gone is None else gone.union(last)
+    return ids if gone is None else ids.join(gone, "id", "left_anti")
 
 
 def dedup_near(df: DataFrame, text_col: str = "problem", order_col: str = "_rid", threshold: float = 0.85, method: str = "minhash", verify: bool = False) -> DataFrame:
@@ -185,7 +229,10 @@ def dedup_near(df: DataFrame, text_col: str = "problem", order_col: str = "_rid"
     """
     if method == "exact":
         return dedup_exact(df, text_col, order_col)
-    signed = _cut(signatures(df, order_col, text_col))
+    if method == "jaccard":
+        signed = _cut(shingle_sets(df, order_col, text_col))
+    else:
+        signed = _cut(signatures(df, order_col, text_col, verify))
     if method == "minhash" and not verify:
         firsts = _cut(_firsts(signed, "bands"))
         kept = keep_first_of_buckets(firsts.select("id"), _members(firsts))
@@ -207,8 +254,9 @@ def decontaminate_near(
     """Rows of ``train`` that are no near copy of a row of ``test``; ``test`` stays as it is, and an empty one takes nothing."""
     if method == "exact":
         return decontaminate_exact(train, test, text_col, test_col)
-    mine = _cut(signatures(train, id_col, text_col))
-    held = _cut(signatures(test, test_id or id_col, test_col or text_col))
+    make = signatures if method == "minhash" else shingle_sets
+    mine = _cut(make(train, id_col, text_col))
+    held = _cut(make(test, test_id or id_col, test_col or text_col))
     if method == "minhash":
         hits = _members(mine).join(_members(held).select("bucket").distinct(), "bucket", "left_semi").select("id")
     else:

@@ -31,7 +31,7 @@ class NearIndex:
         return self.spark.table(self.table)
 
     def _banded(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        return signatures(df, id_col, text_col).select(F.col("id").cast("long").alias("id"), "bands")
+        return signatures(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
 
     @staticmethod
     def _hashes(signed: DataFrame, outer: bool = False) -> DataFrame:

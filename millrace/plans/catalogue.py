@@ -183,27 +183,44 @@ def dedup_exact(spark, sf_dir):
     return dedup.dedup_exact(table(spark, sf_dir, "documents"), "text", "doc_id").select("doc_id")
 
 
-@query()
+PAIRS = f"""{SHINGLES},
+    x AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+    p AS (SELECT a.doc_id AS lo, b.doc_id AS hi, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity
+          FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id AND a.n >= 0.84 * b.n AND b.n >= 0.84 * a.n GROUP BY 1, 2),
+    e AS MATERIALIZED (SELECT lo, hi, similarity FROM p WHERE similarity >= 0.85)"""
+
+
+# MinHash as whole-number arithmetic: 31 bits of each shingle's MD5, the least of each permutation, bands of the least ones.
+MINHASH = f"""{SHINGLES},
+    z AS (SELECT doc_id, CAST('0x' || md5(t)[1:8] AS BIGINT) & {dedup.PRIME} AS h FROM (SELECT doc_id, unnest(s) AS t FROM s)),
+    m AS (SELECT doc_id, [{", ".join(f"min((h * {a} + {b}) % {dedup.PRIME})" for a, b in dedup.permutations())}] AS m FROM z GROUP BY doc_id),
+    b AS MATERIALIZED (SELECT doc_id, band, m[{dedup.ROWS} * band + 1 : {dedup.ROWS} * band + {dedup.ROWS}] AS h FROM m, (SELECT unnest(range({dedup.BANDS})) AS band))"""
+# Of rows that meet in a bucket, by id: a row is dropped if a lower row that wasn't has a bucket with it.
+GREEDY = """v AS MATERIALIZED (SELECT hi AS id, list(lo) AS lower, row_number() OVER (ORDER BY hi) AS r FROM e GROUP BY hi),
+    g AS (SELECT CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS dropped
+          UNION ALL SELECT v.r, CASE WHEN len(list_filter(v.lower, lambda x: NOT list_contains(g.dropped, x))) > 0 THEN list_append(g.dropped, v.id) ELSE g.dropped END
+          FROM g JOIN v ON v.r = g.r + 1)
+    SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT unnest(dropped) FROM g WHERE r = (SELECT max(r) FROM g))"""
+MET = "SELECT DISTINCT x.doc_id AS lo, y.doc_id AS hi FROM b x JOIN b y ON x.band = y.band AND x.h = y.h AND x.doc_id < y.doc_id"
+
+
+@query(f"WITH RECURSIVE {MINHASH}, e AS MATERIALIZED ({MET}), {GREEDY}")
 def dedup_minhash(spark, sf_dir):
     return dedup.dedup_near(table(spark, sf_dir, "documents"), "text", "doc_id").select("doc_id")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {MINHASH}, e AS MATERIALIZED (SELECT lo, hi FROM ({MET}) JOIN s x ON x.doc_id = lo JOIN s y ON y.doc_id = hi
+        WHERE len(list_intersect(x.s, y.s)) >= 0.85e0 * (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))), {GREEDY}"""
+)
 def dedup_minhash_verified(spark, sf_dir):
     return dedup.dedup_near(table(spark, sf_dir, "documents"), "text", "doc_id", verify=True).select("doc_id")
 
 
-PAIRS = f"""{SHINGLES},
-    x AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
-    p AS (SELECT a.doc_id AS lo, b.doc_id AS hi, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity
-          FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id AND a.n >= 0.84 * b.n AND b.n >= 0.84 * a.n GROUP BY 1, 2),
-    e AS MATERIALIZED (SELECT lo, hi, similarity FROM p WHERE similarity >= 0.85)"""
-
-
 @query(f"WITH {PAIRS} SELECT lo, hi, round(similarity, 6) AS similarity FROM e")
 def dedup_jaccard_pairs(spark, sf_dir):
-    signed = dedup.signatures(table(spark, sf_dir, "documents"), "doc_id", "text")
-    pairs = dedup.similar_pairs(signed.select("id", "set"), None, 0.85)
+    signed = dedup.shingle_sets(table(spark, sf_dir, "documents"), "doc_id", "text")
+    pairs = dedup.similar_pairs(signed, None, 0.85)
     return pairs.select("lo", "hi", F.round("similarity", 6).alias("similarity"))
 
 
@@ -241,13 +258,16 @@ def decontaminate_jaccard(spark, sf_dir):
     return dedup.decontaminate_near(docs, held, "text", "doc_id", 0.3, "jaccard", "text", "item_id").select("doc_id")
 
 
-@query()
+@query(
+    f"""WITH {MINHASH}, held AS (SELECT band, h FROM b JOIN documents USING (doc_id) WHERE source = 'src1')
+    SELECT doc_id FROM documents WHERE source <> 'src1' AND doc_id NOT IN (SELECT b.doc_id FROM b JOIN held USING (band, h))"""
+)
 def decontaminate_minhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return dedup.decontaminate_near(docs.where("source <> 'src1'"), docs.where("source = 'src1'"), "text", "doc_id").select("doc_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {MINHASH}, e AS MATERIALIZED ({MET}), {GREEDY}")
 def index_minhash(spark, sf_dir):
     """Two halves of the documents in turn, the second held against the index that the first left: the same rows as at once."""
     docs = table(spark, sf_dir, "documents")

@@ -69,7 +69,7 @@ def stream_windows(spark, sf_dir):
     f"""WITH a AS (SELECT * FROM {same(ARRIVING_SQL, "events")}),
     s AS (SELECT run, _turn, max(max(step)) OVER (PARTITION BY run ORDER BY _turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a GROUP BY run, _turn),
     k AS (SELECT a.* FROM a JOIN s USING (run, _turn) WHERE seen IS NULL OR step > seen)
-    SELECT run, step, round((tokens - lag(tokens) OVER w) / (time - lag(time) OVER w), 6) AS rate, max(CASE WHEN isinf(loss) THEN 1 ELSE 0 END) OVER w = 1 AS stopped FROM k WINDOW w AS (PARTITION BY run ORDER BY step)"""
+    SELECT run, step, (tokens - lag(tokens) OVER w) / (time - lag(time) OVER w) AS rate, max(CASE WHEN isinf(loss) THEN 1 ELSE 0 END) OVER w = 1 AS stopped FROM k WINDOW w AS (PARTITION BY run ORDER BY step)"""
 )
 def stream_runs(spark, sf_dir):
     """Each run's rate and first bad loss by state that lasts from turn to turn; rows that come behind are dropped."""
@@ -78,4 +78,4 @@ def stream_runs(spark, sf_dir):
     schema = rows.drop("_turn").schema
     _in_turns(rows, TURNS, path, lambda: drain(follow_runs(spark.readStream.schema(schema).parquet(path)), out, checkpoint))
     found = spark.read.schema("run long, step long, tokens_per_second double, stopped boolean").parquet(out)
-    return found.select("run", "step", F.round("tokens_per_second", 6).alias("rate"), "stopped")
+    return found.select("run", "step", F.col("tokens_per_second").alias("rate"), "stopped")

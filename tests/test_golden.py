@@ -104,11 +104,22 @@ def test_keep_first_is_greedy(spark):
     for _ in range(3):
         edges = {tuple(sorted(rng.sample(range(30), 2))) for _ in range(25)}
         ids, e = spark.range(30).toDF("id"), spark.createDataFrame(list(edges), "lo long, hi long")
-        assert sorted(r.id for r in dedup.keep_first(ids, e).collect()) == greedy(edges, 30)
+        for one_task in (None, 8, 0):
+            assert sorted(r.id for r in dedup.keep_first(ids, e, one_task).collect()) == greedy(edges, 30)
     buckets = {b: rng.sample(range(30), rng.randint(1, 5)) for b in range(14)}
     meet = {(a, c) for m in buckets.values() for a in m for c in m if a < c}
     members = spark.createDataFrame([(i, b) for b, m in buckets.items() for i in m], "id long, bucket long")
-    assert sorted(r.id for r in dedup.keep_first_of_buckets(spark.range(30).toDF("id"), members).collect()) == greedy(meet, 30)
+    for one_task in (None, 8, 0):
+        assert sorted(r.id for r in dedup.keep_first_of_buckets(spark.range(30).toDF("id"), members, one_task).collect()) == greedy(meet, 30)
+
+
+def test_long_chains_of_copies(spark):
+    """1,500 links: every second row stays, whatever the number of rounds."""
+    chain = spark.range(1500).selectExpr("id AS lo", "id + 1 AS hi")
+    want = list(range(0, 1501, 2))
+    assert sorted(r.id for r in dedup.keep_first(spark.range(1501).toDF("id"), chain).collect()) == want
+    buckets = chain.selectExpr("lo AS id", "lo AS bucket").union(chain.selectExpr("hi", "lo"))
+    assert sorted(r.id for r in dedup.keep_first_of_buckets(spark.range(1501).toDF("id"), buckets).collect()) == want
 
 
 def test_near_copies_of_odd_rows(spark):
