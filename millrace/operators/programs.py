@@ -180,6 +180,16 @@ class Server:
             self.process = None
 
 
+_own: list[Server] = []
+
+
+def worker_server() -> Server:
+    """The server of this worker process, kept from task to task. It ends with the worker, when its pipe is closed."""
+    if not _own:
+        _own.append(Server())
+    return _own[0]
+
+
 def run_program(code: str, stdin: str = "", limits: Limits | None = None) -> Outcome:
     """Run one program on an input, with a server of its own."""
     server = Server()

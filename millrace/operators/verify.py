@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.extract import normal_output, parses, valid_python
 from millrace.operators.dedup import _cut as cut
-from millrace.operators.programs import Limits, Outcome, Server, sql_score, test_counts
+from millrace.operators.programs import Limits, Outcome, Server, sql_score, test_counts, worker_server
 from millrace.operators.scores import per_problem
 
 # Scores of a run.
@@ -42,13 +42,10 @@ def _outcomes(memory_mb: int):
         return r.stdout, r.stderr[-200:], r.timed_out, r.code, r.elapsed, 0, 0, False, score
 
     def run(frames):
-        names, server = [c.split()[0] for c in OUTCOME.split(", ")], Server()
-        try:
-            for frame in frames:
-                rows = [one(server, *r) for r in zip(frame["kind"], frame["program"], frame["given"], frame["seconds"])]
-                yield pd.concat([frame[["_run"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
-        finally:
-            server.close()
+        names, server = [c.split()[0] for c in OUTCOME.split(", ")], worker_server()
+        for frame in frames:
+            rows = [one(server, *r) for r in zip(frame["kind"], frame["program"], frame["given"], frame["seconds"])]
+            yield pd.concat([frame[["_run"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
     return run
 
