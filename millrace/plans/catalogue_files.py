@@ -39,17 +39,25 @@ def _read_all(spark, sf_dir, domain: str) -> DataFrame:
     return R.union([df.select("doc_id", F.md5("text").alias("text"), F.lit(n).alias("name")) for n, df in found.items()])
 
 
-def _sources_sql(domain: str) -> str:
-    names = R.source_names(domain)
+# The names as they should be, apart from the registry.
+CP_NAMES = "taco apps code_contests codeforces codeforces_cots leetcode amc_aime project_euler opencode_reasoning opencode_reasoning2 kodcode code_feedback bigcodebench magicoder_evol aizu competitive_programming_v4"
+SE_NAMES = (
+    "the_stack_python the_stack_js the_stack_ts the_stack_go the_stack_java the_stack_rust the_stack_sql the_stack_shell commitpackft stack_exchange magicoder_oss magicoder_evol code_feedback "
+    "evol_codealpaca glaive_code text_to_sql ultrachat self_oss_instruct"
+)
+
+
+def _sources_sql(named: str) -> str:
+    names = named.split()
     return f"SELECT doc_id, md5(text) AS text, name FROM documents JOIN (VALUES {_values(names)}) v(i, name) ON doc_id % {len(names)} = i"
 
 
-@query(_sources_sql("cp"))
+@query(_sources_sql(CP_NAMES))
 def read_sources_cp(spark, sf_dir):
     return _read_all(spark, sf_dir, "cp")
 
 
-@query(_sources_sql("se"))
+@query(_sources_sql(SE_NAMES))
 def read_sources_se(spark, sf_dir):
     return _read_all(spark, sf_dir, "se")
 
@@ -73,16 +81,34 @@ def _lines(spark, sf_dir, broken: str, tolerant: bool) -> DataFrame:
     return R.read_jsonl(spark, path, "doc_id long, shown string", tolerant)
 
 
-@query(SHOWN)
+BROKEN = """concat('{"doc_id": ', doc_id, ', "sh')"""
+
+
+@query(SHOWN.replace(" FROM", ", true AS broken_lines_fail FROM"))
 def read_jsonl_strict(spark, sf_dir):
-    """Blank lines are skipped."""
-    return _lines(spark, sf_dir, "''", False)
+    """Blank lines are skipped; the same lines with broken ones among them fail the job."""
+    try:
+        _lines(spark, sf_dir, BROKEN, False).write.format("noop").mode("overwrite").save()
+        failed = False
+    except Exception as e:  # noqa: BLE001
+        failed = "MALFORMED_RECORD" in str(e)
+    return _lines(spark, sf_dir, "''", False).withColumn("broken_lines_fail", F.lit(failed))
 
 
 @query(SHOWN)
 def read_jsonl_tolerant(spark, sf_dir):
     """Broken lines are skipped too."""
-    return _lines(spark, sf_dir, """concat('{"doc_id": ', doc_id, ', "sh')""", True)
+    return _lines(spark, sf_dir, BROKEN, True)
+
+
+RECORDS = "doc_id ;; CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN concat('{\"chars\": ', n_chars) WHEN 2 THEN '[]' WHEN 3 THEN concat('{\"lang\": \"', lang, '\"}') ELSE concat('{\"lang\": \"', lang, '\", \"chars\": ', n_chars, ', \"tags\": [\"a\", \"', source, '\"]}') END AS j"
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 6 > 2 THEN lang END AS lang, CASE WHEN doc_id % 6 > 3 THEN n_chars END AS chars, CASE WHEN doc_id % 6 > 3 THEN 'a,' || source END AS tags FROM documents")
+def json_records(spark, sf_dir):
+    """Records out of a column of JSON; what is broken or of another form is a record of nulls."""
+    parsed = R.parse_records(made(spark, sf_dir, RECORDS), "j", "lang string, chars long, tags array<string>")
+    return parsed.select("doc_id", "record.lang", "record.chars", F.array_join("record.tags", ",").alias("tags"))
 
 
 # ---- sinks -----------------------------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,26 @@ class Options:
     clean_val: bool = False
     names: list[str] = field(default_factory=list)
 
+    @classmethod
+    def of(cls, values: Mapping) -> Options:
+        """Options from a configuration, its values in the kinds of the fields; names that are no option are an error."""
+        known = {f.name: f for f in fields(cls)}
+        if unknown := sorted(set(values) - set(known)):
+            raise ValueError(f"no such options: {', '.join(unknown)}")
+        return cls(**{k: _as(known[k].type, v) for k, v in values.items()})
+
+
+def _as(kind: str, value):
+    if value is None or value == "" and "None" in kind:
+        return None
+    if kind == "bool":
+        if str(value).lower() not in ("true", "false", "1", "0"):
+            raise ValueError(f"neither true nor false: {value}")
+        return str(value).lower() in ("true", "1")
+    if kind.startswith("list"):
+        return [x for x in value.split(",") if x] if isinstance(value, str) else list(value)
+    return {"int": int, "float": float}.get(kind, str)(value)
+
 
 def records(raw: Mapping[str, DataFrame], options: Options) -> DataFrame:
     """All sources in one schema, in order: ``_rid`` is made of the place of the source and the row's own ``_rid``."""

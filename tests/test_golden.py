@@ -340,3 +340,24 @@ def test_counts_of_nothing(spark):
     r = built["meta"].first()
     assert (r.n_preprocessed, r.n_filtered, r.n_deduplicated, r.n_train, r.n_val, r.n_test) == (0, 0, 0, 0, 0, 0) and built["train"].isEmpty()
     built.discard()
+
+
+def test_options_of_a_configuration():
+    assert Options.of({"threshold": "0.5", "seed": "7", "verify": "true", "names": "taco,apps", "text_col": ""}) == Options(threshold=0.5, seed=7, verify=True, names=["taco", "apps"])
+    assert Options.of({"names": ["taco"], "clean_val": True, "solutions": 2}) == Options(names=["taco"], clean_val=True, solutions=2)
+    for bad in ({"no_such": 1}, {"verify": "perhaps"}, {"seed": "x"}):
+        with pytest.raises(ValueError):
+            Options.of(bad)
+
+
+def test_command_line(spark, tmp_path):
+    from millrace.__main__ import main
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    rows = [(f"Given an array of {i} numbers and {i * i} queries, print the sum of each range modulo {i + 7}.", '["print(1)"]', "", "easy", "dp") for i in range(40)]
+    spark.createDataFrame(rows, "question string, solutions string, input_output string, difficulty string, tags string").write.json(readers.SOURCES["cp"]["taco"].folder(raw))
+    readers.write_config({"method": "exact", "test": 0.1, "seed": 3}, str(tmp_path / "c.json"))
+    args = [raw, out, "--config", str(tmp_path / "c.json"), "names=taco,apps", "seed=5"]
+    assert main(args, spark) is True and main(args, spark) is False
+    meta = readers.read_jsonl(spark, f"{out}/meta", "seed int, method string, n_preprocessed long, n_test long").first()
+    assert tuple(meta) == (5, "exact", 40, 4)
