@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from millrace.plans import catalogue, catalogue_files, catalogue_records, catalogue_runs, catalogue_streams, catalogue_times  # noqa: F401
+from millrace.plans import catalogue, catalogue_files, catalogue_records, catalogue_runs, catalogue_streams, catalogue_tables, catalogue_times  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

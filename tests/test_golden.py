@@ -361,3 +361,20 @@ def test_command_line(spark, tmp_path):
     assert main(args, spark) is True and main(args, spark) is False
     meta = readers.read_jsonl(spark, f"{out}/meta", "seed int, method string, n_preprocessed long, n_test long").first()
     assert tuple(meta) == (5, "exact", 40, 4)
+
+
+def test_table_functions(spark):
+    """Blocks as the column functions find them; pairs by hand, with parted and unanswered turns."""
+    from millrace.functions.tables import register
+
+    register(spark)
+    given = ["", None, "x ```py\nA\n``` y ```\nB\n``` z ``` open", "```C++\nint x;\n```", "```été\nq\n```", "a ```\n```b", "```js \n1\n```\n```js\n2\n```"]
+    docs = spark.createDataFrame(list(enumerate(given)), "i long, t string")
+    docs.createOrReplaceTempView("given_texts")
+    got = sorted((r.i, r.place, r.lang, r.code) for r in spark.sql("SELECT d.i, b.* FROM given_texts d, LATERAL code_blocks(d.t) b").collect())
+    want = [(r.i, k, b.lang, b.code) for r in docs.select("i", extract.named_blocks("t").alias("b")).collect() for k, b in enumerate(r.b or [], 1)]
+    assert got == sorted(want) and got
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "assistant", "c"), (1, 3, "user", "d"), (1, 4, "user", None), (1, 5, "system", "s"), (1, 6, "assistant", "e"), (2, 0, "assistant", "f"), (2, 1, "user", "g"), (3, 0, None, "h")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(4).createOrReplaceTempView("given_turns")
+    pairs = spark.sql("SELECT * FROM turn_pairs(TABLE(given_turns) PARTITION BY conv_id ORDER BY turn)").collect()
+    assert sorted(map(tuple, pairs)) == [(1, 1, "a", "b"), (1, 2, "", "e")]
