@@ -33,7 +33,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal normalised texts the one that exact dedup keeps."""
+    """Of documents with equal normalised texts the one that exact dedup keeps: the longest original, then the smallest id.
+
+    Null texts count as empty, and null ids as larger than all; of wholly equal rows one stays. Columns are those of
+    ``docs``, whatever their names; no rows in, none out.
+    """
     return keep_rows(docs, exact_dedup(docs).where("kept"))
 
 
@@ -66,7 +70,11 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix: the rows of the files, read in order, follow the target weights."""
+    """All documents, in the order of the mix: the rows of the files, read in order, follow the target weights.
+
+    Null and empty texts have the size of one byte, a null source is a source of its own; repeated rows and null ids stay.
+    Columns are those of ``docs``, whatever their names; no rows in, none out.
+    """
     mixed = mix(docs, carry=True)
     return mixed.repartitionByRange("slot", "slot_pos").sortWithinPartitions("slot", "slot_pos").select("row.*")
 

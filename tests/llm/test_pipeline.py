@@ -59,3 +59,10 @@ def test_odd_rows_in_the_outer_stages(spark, sf):
     rows = corpus_pipeline.encode(spark, odd, sf).collect()
     assert len(rows) == len(cases.ODD) and sum(r.n_ids == 0 for r in rows) == sum(not r[1] for r in cases.ODD)
     assert corpus_pipeline.encode(spark, cases.empty(spark), sf).isEmpty()
+
+
+def test_odd_rows_in_the_mixing_stage(spark):
+    """Every row stays as it was, repeated ones too, with columns named like those of the mix."""
+    odd = cases.odd(spark).selectExpr("*", "1 AS slot", "'p' AS slot_pos", "2 AS block", "doc_id AS _k", "lang AS row")
+    mixed = corpus_pipeline.mix_sources(spark, odd, "")
+    assert mixed.columns == odd.columns and mixed.count() == len(cases.ODD) and mixed.exceptAll(odd).isEmpty()
