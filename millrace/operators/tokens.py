@@ -25,22 +25,24 @@ def whitespace_tokens(c: Column | str, vocabulary: int = 50_000) -> Column:
     return F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % vocabulary + 1).cast("int"))
 
 
-def pack(df: DataFrame, ids_col: str = "ids", order_col: str = "_rid", length: int = 2048, eos: int = 0, keep_exact: bool = False, buckets: int = 256) -> DataFrame:
+def pack(df: DataFrame, ids_col: str = "ids", order_col: str = "_rid", length: int = 2048, eos: int = 0, keep_exact: bool = False) -> DataFrame:
     """(chunk, input_ids, attention_mask, labels): documents joined in order, an ``eos`` after each, cut to equal lengths.
 
-    The last chunk is dropped, and so is a full one that ends the text, unless ``keep_exact``. Places are prefix sums
-    in two steps: within ranges of the order, and over the ranges' totals, so that no task sees all rows. A document is
-    cut at its chunks' borders; only pieces move.
+    ``order_col`` is unique and not null. The last chunk is dropped, and so is a full one that ends the text, unless
+    ``keep_exact``. Places are prefix sums in two steps over (order, size) alone: within ranges of the order, as many as the session
+    has shuffle partitions, and over the ranges' totals, so that no task sees all rows. A document is cut at its chunks'
+    borders; only pieces move.
     """
     sized = df.select(F.col(order_col).alias("o"), F.concat(F.coalesce(F.col(ids_col), F.array().cast("array<int>")), F.array(F.lit(eos))).alias("ids")).withColumn("n", F.size("ids").cast("long"))
     sized = cut(sized)  # read twice; making the tokens costs more than writing them
-    found = sized.agg(F.sum("n").alias("total"), F.percentile_approx("o", [i / buckets for i in range(1, buckets)], 100 * buckets).alias("cuts")).first()
-    total, cuts = found["total"] or 0, F.array(*[F.lit(c) for c in sorted(set(found["cuts"] or [0]))])
-    ranged = sized.withColumn("bucket", F.size(F.filter(cuts, lambda c: c < F.col("o"))))  # ranges with about as many rows
-    sums = ranged.groupBy("bucket").agg(F.sum("n").alias("n"))  # at most ``buckets`` rows
-    offsets = sums.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
-    within = Window.partitionBy("bucket").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.withColumn("start", F.sum("n").over(within) - F.col("n")).join(F.broadcast(offsets), "bucket").withColumn("start", F.col("start") + F.col("offset"))
+    at = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower
+    ranged = cut(sized.select("o", "n").repartitionByRange("o").sortWithinPartitions("o").withColumn("_at", at)).withColumn("_part", F.shiftright("_at", 33))
+    sums = ranged.groupBy("_part").agg(F.sum("n").alias("n"))  # a row a range
+    offsets = cut(sums.select("_part", "n", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("offset")))
+    total = offsets.agg(F.sum("n")).first()[0] or 0
+    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = ranged.withColumn("start", F.sum("n").over(within) - F.col("n")).join(F.broadcast(offsets.select("_part", "offset")), "_part")
+    placed = sized.join(starts.select("o", (F.col("start") + F.col("offset")).alias("start")), "o")
     first, last = F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("n") - 1) / length)
     pieces = placed.select("start", "ids", "n", F.explode(F.sequence(first, last)).alias("chunk")).select(
         "chunk",
