@@ -7,14 +7,15 @@ found over MinHash bands, or exactly, by a prefix-filtered similarity join. Whic
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import hash_key, let, shingles
+from millrace.functions.text import hash_key, shingles
 
 PERMUTATIONS = 128
 #: Bands and rows a band that best tell Jaccard similarity .85 at 128 permutations.
@@ -64,28 +65,54 @@ def permutations() -> list[tuple[int, int]]:
     return list(zip(out[::2], out[1::2]))
 
 
-def _banded(frames):
-    """Rows with the band hashes of the shingle hashes ``low``, which go; none for an empty set."""
-    a, b = np.array(permutations(), np.int64).T
-    mix = np.random.default_rng(2).integers(1, 2**62, ROWS, dtype=np.int64).astype(np.uint64)
-    for frame in frames:
-        out = []
-        for s in frame["low"]:
-            if not len(s):
-                out.append([])
-                continue
-            h = np.asarray(s, np.int64)
-            least = np.full(PERMUTATIONS, np.iinfo(np.int64).max)
-            for i in range(0, len(h), 1024):
-                np.minimum(least, ((h[i : i + 1024, None] * a[None] + b[None]) % PRIME).min(axis=0), out=least)
-            with np.errstate(over="ignore"):
-                out.append((least.reshape(BANDS, ROWS).astype(np.uint64) * mix).sum(axis=1, dtype=np.uint64).view(np.int64).tolist())
-        yield frame.drop(columns="low").assign(bands=pd.Series(out, index=frame.index, dtype=object))
-
-
-def _low(x: Column) -> Column:
-    """31 bits of a shingle's MD5."""
-    return F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long").bitwiseAND(PRIME).cast("int")
+def _shingles(key: str) -> set[str]:
+    """Character 3-grams and word 2-grams of a hash key, as ``functions.text.shingles`` gives them."""
+    words = key.split()
+    return {key[i : i + 3] for i in range(len(key) - 2)} | {f"{a} {b}" for a, b in zip(words, words[1:])}
+
+
+#: Shingles whose hashes a task keeps at hand, at most.
+KNOWN = 200_000
+
+
+def _banded(sets: bool):
+    def run(frames):
+        """Rows (id, k) with the MinHash bands of the shingles of k; none without shingles."""
+        import xxhash
+
+        (a, b), prime = np.array(permutations(), np.uint64).T.copy(), np.uint64(PRIME)
+        mix = np.random.default_rng(2).integers(1, 2**62, ROWS, dtype=np.int64).astype(np.uint64)
+        known: dict[str, int] = {}
+
+        def low(x: str) -> int:
+            """31 bits of a shingle's MD5."""
+            if (found := known.get(x)) is None:
+                found = int.from_bytes(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()[:4]) & PRIME
+                if len(known) < KNOWN:
+                    known[x] = found
+            return found
+
+        for frame in frames:
+            bands, whole = [], []
+            for key in frame["k"]:
+                some = _shingles(key)
+                if sets:
+                    whole.append(np.fromiter((xxhash.xxh64_intdigest(x) for x in some), np.uint64, len(some)).view(np.int64))
+                if not some:
+                    bands.append([])
+                    continue
+                h = np.fromiter(map(low, some), np.uint64, len(some))
+                least = np.full(PERMUTATIONS, PRIME, np.uint64)
+                for i in range(0, len(h), 128):
+                    x = h[i : i + 128, None] * a + b
+                    x = (x & prime) + (x >> np.uint64(31))  # the same remainder, below 2 * PRIME
+                    np.minimum(least, np.minimum(x, x - prime).min(axis=0), out=least)  # what falls below 0 wraps to the top
+                with np.errstate(over="ignore"):
+                    bands.append((least.reshape(BANDS, ROWS) * mix).sum(axis=1, dtype=np.uint64).view(np.int64).tolist())
+            out = {"id": frame["id"], **({"set": pd.Series(whole, index=frame.index, dtype=object)} if sets else {}), "bands": pd.Series(bands, index=frame.index, dtype=object)}
+            yield pd.DataFrame(out)
+
+    return run
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -96,12 +123,9 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def signatures(df: DataFrame, id_col: str, text_col: str, sets: bool = False) -> DataFrame:
     """(id, bands): MinHash bands of the shingles of the hash key; with ``sets`` also set, the hashes of all of them."""
-    key = hash_key(F.coalesce(F.col(text_col), F.lit("")))
-    low = lambda s: F.transform(s, _low).alias("low")
-    made = let(shingles("k"), lambda s: F.struct(low(s), *([F.transform(s, lambda x: F.xxhash64(x)).alias("set")] if sets else [])))
-    rows = df.select(F.col(id_col).alias("id"), key.alias("k")).select("id", made.alias("m")).select("id", "m.*")
+    rows = df.select(F.col(id_col).alias("id"), hash_key(F.coalesce(F.col(text_col), F.lit(""))).alias("k"))
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(_banded, f"id {kind}, " + ("set array<long>, " if sets else "") + "bands array<long>")
+    return rows.mapInPandas(_banded(sets), f"id {kind}, " + ("set array<long>, " if sets else "") + "bands array<long>")
 
 
 def _firsts(signed: DataFrame, by: str) -> DataFrame:
