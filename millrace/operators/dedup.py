@@ -12,7 +12,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import hash_key, shingles
@@ -39,18 +39,22 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def exact_key(text_col: str) -> Column:
+    """A digest of the hash key; null counts as empty text."""
+    return F.sha2(hash_key(F.coalesce(F.col(text_col), F.lit(""))), 256)
+
+
 def dedup_exact(df: DataFrame, text_col: str = "problem", order_col: str = "_rid") -> DataFrame:
     """Of rows with the same hash key the first by ``order_col``, which must be unique. Nulls count as empty text."""
-    key = F.sha2(hash_key(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    key = exact_key(text_col)
     first = df.groupBy(key.alias("_key")).agg(F.min(order_col).alias(order_col)).select(order_col)
     return df.join(first, order_col, "left_semi").select(*df.columns)
 
 
 def decontaminate_exact(train: DataFrame, test: DataFrame, text_col: str = "problem", test_col: str | None = None) -> DataFrame:
     """Rows of ``train`` whose hash key no row of ``test`` has. An empty test takes nothing."""
-    key = lambda c: F.sha2(hash_key(F.coalesce(F.col(c), F.lit(""))), 256)
-    held = test.select(key(test_col or text_col).alias("_key")).distinct()
-    return train.withColumn("_key", key(text_col)).join(held, "_key", "left_anti").select(*train.columns)
+    held = test.select(exact_key(test_col or text_col).alias("_key")).distinct()
+    return train.withColumn("_key", exact_key(text_col)).join(held, "_key", "left_anti").select(*train.columns)
 
 
 PRIME = 2**31 - 1

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.operators.dedup import decontaminate_near
+from millrace.operators.dedup import _cut as cut
+from millrace.operators.dedup import _members as members
+from millrace.operators.dedup import decontaminate_near, exact_key, signatures
 
 
 def turn(seed: int, order_col: str = "_rid") -> Column:
@@ -49,11 +51,29 @@ def assign_split(df: DataFrame, seed: int = 42, test: float = 0.01, val: float =
     return df.join(held, order_col, "left").select(*df.columns, F.coalesce("split", F.lit("train")).alias("split"))
 
 
+def _marks(df: DataFrame, text_col: str, order_col: str, method: str) -> DataFrame:
+    """(order_col, mark): rows that share a mark are copies by ``method``."""
+    if method == "exact":
+        return df.select(order_col, exact_key(text_col).alias("mark"))
+    return members(signatures(df, order_col, text_col)).select(F.col("id").alias(order_col), F.col("bucket").alias("mark"))
+
+
 def split(df: DataFrame, seed: int = 42, test: float = 0.01, val: float = 0.02, order_col: str = "_rid", text_col: str = "problem", method: str | None = "minhash", clean_val: bool = False) -> dict[str, DataFrame]:
-    """train, val and test; train freed of near copies of test and then of val. val keeps its own unless ``clean_val``."""
-    parts = assign_split(df, seed, test, val, order_col)
-    out = {k: parts.where(F.col("split") == k).drop("split") for k in ("train", "val", "test")}
-    if method:
+    """train, val and test; train freed of near copies of test and then of val. val keeps its own unless ``clean_val``.
+
+    Parts and copies are found on ids and marks alone; the rows join their part at the end. ``order_col`` is unique.
+    """
+    names = ("train", "val", "test")
+    parts = cut(assign_split(df.select(order_col), seed, test, val, order_col))
+    if method in ("exact", "minhash"):
+        marked = cut(_marks(df, text_col, order_col, method).join(parts, order_col))
+        for name, against in [("train", ("test", "val")), ("val", ("test",))][: 1 + clean_val]:
+            held = marked.where(F.col("split").isin(*against)).select("mark").distinct()
+            hit = marked.where(F.col("split") == name).join(held, "mark", "left_semi").select(order_col).distinct()
+            parts = parts.join(hit, order_col, "left_anti")
+        parts = cut(parts)
+    out = {k: df.join(parts.where(F.col("split") == k).select(order_col), order_col, "left_semi") for k in names}
+    if method == "jaccard":
         for held in ("test", "val"):
             out["train"] = decontaminate_near(out["train"], out[held], text_col, order_col, method=method)
         if clean_val:
