@@ -60,7 +60,7 @@ def _candidates(spark, sf_dir) -> DataFrame:
 def verify_programs(spark, sf_dir):
     """Each document's program on three examples, with its own tests (the first two examples)."""
     d = _candidates(spark, sf_dir).withColumns({"test_code": F.lit(None).cast("string"), "self_tests": F.slice(_examples(F.col("n"), F.col("doc_id")), 1, 2)})
-    checked = verify.check_programs(verify.score_programs(d, seconds=1.0), seconds=1.0)
+    checked = verify.score_programs(d, seconds=1.0, reasons=True)
     return checked.select("doc_id", "valid_syntax", "has_examples", F.round("pass_rate", 9).alias("pass_rate"), "self_rate", "passed", "reason")
 
 

@@ -187,6 +187,22 @@ def test_unit_tests(spark):
     assert got[6].elapsed == 0 and got[7].elapsed == 5.0 and not got[0].has_examples
 
 
+def test_runs_are_shared_and_dealt_to_few_tasks(spark):
+    """Scores and reasons come from the same runs, a candidate's own tests from earlier ones; tasks don't follow the runs."""
+    ex = [{"input": str(i), "output": str(i)} for i in range(3)]
+    rows = [(0, "print(input())", ex, ex[:2]), (1, "print(int(input()) % 2)", ex, ex[:2]), (2, "print(", ex, ex), (3, "print(input())", [], ex), (4, "raise ValueError", ex, ex)]
+    df = spark.createDataFrame(rows, "i long, code string, examples array<struct<input:string,output:string>>, self_tests array<struct<input:string,output:string>>")
+    got = {r.i: (r.pass_rate, r.self_rate, r.passed, r.reason) for r in verify.score_programs(df, seconds=5.0, reasons=True).collect()}
+    want = {r.i: r.reason for r in verify.check_programs(df, seconds=5.0).collect()}
+    assert {i: g[3] for i, g in got.items()} == want and all(g[2] == (g[3] == "passed") for g in got.values())
+    assert [got[i][1] for i in range(5)] == [1.0, 0.0, 0.0, 1.0, 0.0] and round(got[1][0], 3) == 0.667
+    units = verify._of_examples(verify._numbered(df.where("i = 0")), F.col("code"), F.col("examples"), 5.0)
+    done = []
+    verify.outcomes(units.where("place < 3"), 512, done)
+    assert verify.outcomes(units, 512, done).count() == 3 and [d.count() for d in done] == [2, 1]
+    assert verify._tasks(100, 8) == 8 and verify._tasks(1_500_000, 12) == 384 and verify._tasks(9_000_000, 12) == 2198
+
+
 def test_solutions_that_hold(spark):
     one, none = UNIT[: UNIT.index("\n def test_b")], []
     shown = [{"input": "", "output": "1"}]
