@@ -1,7 +1,8 @@
 """Joins by time that need no range join: the last row before each row, and points in spans.
 
 An as-of join is one sort of both sides together. A join of points with spans is an equal join on the parts of a binary
-division of time: a span is made of at most two parts a level, a point lies in one part a level.
+division of time: a span is made of at most two parts a level, a point lies in one part a level. Where only sums over each
+span are wanted, no pairs are made: they are differences of running sums at the spans' two ends.
 """
 
 from __future__ import annotations
@@ -92,3 +93,57 @@ def points_in_spans(points: DataFrame, spans: DataFrame, time: str, start: str,
     sent = points.where(F.col(time).isNotNull()).select(*points.columns, F.explode(where).alias("_q"))
     met = keyed.join(sent, (F.col("level") == F.col("_q.level")) & (F.col("part") == F.col("_q.part")))
     return met.where((F.col("level") >= 0) | ((F.col(time) >= F.col("_s")) & (F.col(time) < F.col("_e")))).select(*points.columns, *spans.columns)
+
+
+#: Fractions of the values are summed apart, below this power of two.
+FRACTION_BITS = 20
+
+
+def sums_in_spans(points: DataFrame, spans: DataFrame, time: str, start: str, end: str, value: str) -> DataFrame:
+    """``spans`` with n_points and total, the count of points with start <= time < end and the sum of ``value``; times are whole numbers.
+
+    What ``points_in_spans`` and an aggregate give, at the cost of rows, not of pairs: points and ends are added up by time, summed
+    along it, and a span takes the difference. Spans without a point are left out, as are empty and reversed ones and nulls. The
+    whole part of a value times 2**20 is summed as a whole number, without error, so a small sum after a large one loses nothing (but after
+    values past 10**23, which are summed as doubles).
+    Null values count as points and add nothing; total is null if all are. Sums of infinite values and NaN are as usual.
+    """
+    v = F.col(value).cast("double")
+    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+    scaled = F.when(finite, v * float(1 << FRACTION_BITS))
+    # Powers of two scale a double without error; beyond 2**53 it has no fraction.
+    small, fits = F.abs(scaled) < float(1 << 53), F.abs(scaled) < 1e30
+    whole = F.when(small, F.floor(scaled).cast("decimal(38,0)")).when(fits, F.when(fits, scaled).cast("decimal(38,0)"))
+    count = lambda c: F.when(c, 1).otherwise(0).cast("long")
+    summed = {
+        "_n": F.lit(1).cast("long"),
+        "_known": count(v.isNotNull()),
+        "_nan": count(F.coalesce(F.isnan(v), F.lit(False))),
+        "_up": count(F.coalesce(v == float("inf"), F.lit(False))),
+        "_down": count(F.coalesce(v == float("-inf"), F.lit(False))),
+        "_whole": F.coalesce(whole, F.lit(0).cast("decimal(38,0)")),
+        "_rest": F.coalesce(F.when(small, scaled - F.floor(scaled)).when(~fits, scaled), F.lit(0.0)),
+    }
+    added = lambda: [F.sum(c).cast("decimal(38,0)" if c == "_whole" else "double" if c == "_rest" else "long").alias(c) for c in summed]
+    real = spans.where(F.col(start) < F.col(end))
+    known = points.where(F.col(time).isNotNull())
+    ends = real.select(F.col(start).cast("long").alias("_t")).union(real.select(F.col(end).cast("long"))).distinct()
+    nothing = {c: F.lit(0).cast(known.select(x.alias("x")).schema["x"].dataType) for c, x in summed.items()}
+    at = known.select(F.col(time).cast("long").alias("_t"), *(x.alias(c) for c, x in summed.items())).groupBy("_t").agg(*added())
+    times = at.select("_t", *summed).union(ends.select("_t", *(x.alias(c) for c, x in nothing.items()))).groupBy("_t").agg(*added())
+    # Ranges of time, as many as shuffle partitions; each is summed for itself, on top of all ranges before it.
+    parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(times.repartitionByRange(parts, "_t").withColumn("_part", F.spark_partition_id()))
+    here = Window.partitionBy("_part").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda x, c: F.coalesce(x, nothing[c])
+    offsets = ranged.groupBy("_part").agg(*added()).select("_part", *(zero(F.sum(c).over(before), c).alias(f"_before{c}") for c in summed))  # a row a range
+    running = ranged.select("_t", "_part", *(zero(F.sum(c).over(here), c).alias(c) for c in summed)).join(F.broadcast(offsets), "_part")
+    until = cut(running.select("_t", F.struct(*((F.col(f"_before{c}") + F.col(c)).alias(c) for c in summed)).alias("_sum")))
+    first, last = (until.select(F.col("_t").alias(t), F.col("_sum").alias(s)) for t, s in (("_s", "_from"), ("_e", "_to")))
+    met = real.withColumns({"_s": F.col(start).cast("long"), "_e": F.col(end).cast("long")}).join(first, "_s").join(last, "_e")
+    of = {c: F.col(f"_to.{c}") - F.col(f"_from.{c}") for c in summed}
+    total = F.when(of["_known"] == 0, F.lit(None).cast("double"))
+    total = total.when((of["_nan"] > 0) | ((of["_up"] > 0) & (of["_down"] > 0)), float("nan")).when(of["_up"] > 0, float("inf")).when(of["_down"] > 0, float("-inf"))
+    total = total.otherwise((of["_whole"].cast("double") + of["_rest"]) / float(1 << FRACTION_BITS))
+    return met.where(of["_n"] > 0).select(*spans.columns, of["_n"].alias("n_points"), total.alias("total"))

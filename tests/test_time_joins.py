@@ -2,7 +2,7 @@ import random
 
 import pytest
 from millrace.operators import sketches
-from millrace.operators.time_joins import asof_join, points_in_spans
+from millrace.operators.time_joins import asof_join, points_in_spans, sums_in_spans
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,21 @@ def test_sketches_over_runs(spark, tmp_path):
             assert abs(rank - q) < 0.02
     none = sketches.figures(sketches.sketched(whole.where("source = 'b'").withColumn("n", F.lit(None).cast("long")), "source", F.col("k"), F.col("n")), "source").first()
     assert none.p50 is None and none.n_rows > 0
+
+
+def test_sums_in_spans_are_those_of_the_pairs(spark):
+    """Sums without pairs: odd values, equal and negative times, repeated, empty and reversed spans, a huge value before small ones."""
+    rng = random.Random(9)
+    odd = [None, 0.1, -0.3, 1e-9, 2.5, 1e15, float("nan"), float("inf"), float("-inf")]
+    points = [(i, rng.choice([None, *range(-50, 400)]), rng.choice(odd if 300 < i < 320 else odd[:5])) for i in range(600)] + [(999, -60, 1e15)]
+    spans = [(i, s, s + rng.choice([0, 1, 5, 40, 900, -3])) for i in range(200) for s in [rng.randrange(-70, 420)]] + [(500, None, 3), (501, 3, None), (502, -100, 1000), (502, -100, 1000), (503, 5000, 6000)]
+    p = spark.createDataFrame(points, "i long, t long, v double").repartition(3)
+    s = spark.createDataFrame(spans, "k long, a long, b long").repartition(2)
+    shown = lambda rows: sorted((k, n, None if v is None else repr(v) if v != v or abs(v) == float("inf") else f"{v:.9g}") for k, n, v in rows)
+    pairs = points_in_spans(p, s, "t", "a", "b").groupBy("k", "a", "b").agg(F.count("*").alias("n"), F.sum("v").alias("v"))
+    got = [(r.k, r.n_points, r.total) for r in sums_in_spans(p, s, "t", "a", "b", "v").where("k <> 502").collect()]
+    assert shown(got) == shown([(r.k, r.n, r.v) for r in pairs.where("k <> 502").collect()]) and len(got) > 100
+    assert sums_in_spans(p, s, "t", "a", "b", "v").where("k = 502").count() == 2
+    assert sums_in_spans(p.limit(0), s, "t", "a", "b", "v").isEmpty() and sums_in_spans(p, s.limit(0), "t", "a", "b", "v").isEmpty()
+    joins = sums_in_spans(p, s, "t", "a", "b", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in joins  # no pairs, nothing exploded
