@@ -122,6 +122,40 @@ def test_long_chains_of_copies(spark):
     assert sorted(r.id for r in dedup.keep_first_of_buckets(spark.range(1501).toDF("id"), buckets).collect()) == want
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.85, 1.0])
+def test_similar_pairs_are_those_of_brute_force(spark, monkeypatch, threshold):
+    """Pairs and hits, the latter by tables sent to tasks and by the join; and only beginnings of sets are exploded."""
+    rng = __import__("random").Random(11)
+    words = [f"w{i}" for i in range(30)] + ["a", "b", "é", "字", "\U0001f600"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 25))) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts + texts[:5] + ["", "a", "ab", "a b", "a  b", "a b a b", "abc", "abc"])]
+    for i, t in rows[:30]:
+        parts = t.split(" ")
+        parts[rng.randrange(len(parts))] = rng.choice(words)
+        rows.append((100 + i, " ".join(parts)))
+    sets = {i: dedup._shingles(k) for i, k in rows}
+    assert all(len(dedup.shingle_hashes(k)) == len(sets[i]) for i, k in rows)
+    alike = lambda x, y: bool(x and y) and len(x & y) / len(x | y) >= threshold
+    want = {(i, j): round(len(sets[i] & sets[j]) / len(sets[i] | sets[j]), 9) for i in sets for j in sets if i < j and alike(sets[i], sets[j])}
+    df = spark.createDataFrame(rows, "id long, k string").repartition(3)
+    got = [(r.lo, r.hi, round(r.similarity, 9)) for r in dedup.similar_pairs(df, threshold).collect()]
+    assert sorted(got) == sorted((*p, s) for p, s in want.items()) and want
+    mine, held = df.where("id < 100"), df.where("id >= 100 or id = 41")
+    near = {i for i in sets if i < 100 and any(alike(sets[i], sets[j]) for j in sets if j >= 100 or j == 41)}
+    assert sorted(r.id for r in dedup.similar_to(mine, held, threshold).collect()) == sorted(near)
+    monkeypatch.setattr(dedup, "HELD_MOST", 0)
+    assert sorted(r.id for r in dedup.similar_to(mine, held, threshold).collect()) == sorted(near) and near
+
+
+def test_few_shingles_are_sent():
+    """Of a set of n, some (1 - threshold) n shingles, in rows of bounded frames; before, all of them were sorted and shuffled twice."""
+    levels = type("L", (), {"value": __import__("numpy").zeros(1 << dedup.CELL_BITS, "uint8")})
+    key = " ".join(f"w{i}" for i in range(2000))
+    n = len(dedup.shingle_hashes(key))
+    sent = [f for f in dedup._prefixed(levels, 0.85)([__import__("pandas").DataFrame({"id": range(100), "k": [key] * 100})])]
+    assert sum(map(len, sent)) <= 100 * (0.15 * n + 2) and max(map(len, sent)) < dedup.SHINGLES_A_FRAME + n
+
+
 def test_near_copies_of_odd_rows(spark):
     rows = [(0, "a long text about nothing at all, told twice"), (1, "A long text about nothing at all -- told twice!"), (2, ""), (3, ""), (4, "ab"), (5, None), (6, "something else that is not alike in any way")]
     df = spark.createDataFrame(rows, "_rid long, problem string")
