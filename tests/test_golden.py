@@ -428,3 +428,11 @@ def test_table_functions(spark):
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(4).createOrReplaceTempView("given_turns")
     pairs = spark.sql("SELECT * FROM turn_pairs(TABLE(given_turns) PARTITION BY conv_id ORDER BY turn)").collect()
     assert sorted(map(tuple, pairs)) == [(1, 1, "a", "b"), (1, 2, "", "e")]
+
+
+def test_bands_come_in_bounded_frames():
+    """A frame of many rows is given back in parts, so that their whole sets are not held at once."""
+    pd = __import__("pandas")
+    frame = pd.DataFrame({"id": range(1201), "k": ["some key of words", "", "other"] * 400 + ["x"]})
+    parts = list(dedup._banded(True)([frame]))
+    assert max(map(len, parts)) <= dedup.A_FRAME and pd.concat(parts)["id"].tolist() == list(range(1201))
