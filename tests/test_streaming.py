@@ -71,3 +71,24 @@ def test_windows_of_a_table_lose_nothing(spark):
     log = spark.createDataFrame(rows, "run long, s long, tokens double").withColumn("time", F.timestamp_seconds("s"))
     got = windowed_throughput(log).agg(F.sum("n_rows"), F.sum("tokens")).first()
     assert tuple(got) == (50, sum(range(50)))
+
+
+def test_state_is_a_row_a_group_of_runs(spark, tmp_path):
+    """Many runs share few groups, so Python is called by group; a run without a name, and a loss that is no number, count."""
+    path, out, offsets = (str(tmp_path / x) for x in ("log", "out", "offsets"))
+    schema, many = "run long, step long, time double, tokens double, loss double", 3000
+    big = 2**53 + 1
+    turns = [
+        [(big + r, 1, 1.0, float(r), 1.0) for r in range(many)] + [(None, 5, 1.0, 1.0, math.nan), (None, None, 9.0, 9.0, 1.0)],
+        [(big + r, s, 1.0 + s, r + 3.0 * s, None if r % 2 else math.inf) for r in range(0, many, 3) for s in (2, 1, 2)] + [(None, 6, 2.0, 4.0, 1.0)],
+        [(big + r, 4, 7.0, None if r == 1 else 0.0, 1.0) for r in range(4)],
+    ]
+    for rows in turns:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        drain(follow_runs(spark.readStream.schema(schema).parquet(path), 16), out, offsets)
+    want = {(big + r, 1): (None, False) for r in range(many)} | {(None, 5): (None, True), (None, 6): (3.0, True)}
+    want |= {(big + r, 2): (3.0, r % 2 == 0) for r in range(0, many, 3)}
+    want |= {(big, 4): (-1.5, True), (big + 1, 4): (None, False), (big + 2, 4): (-2 / 6, False), (big + 3, 4): (-2.25, False)}
+    got = spark.read.parquet(out).collect()
+    assert len(got) == len(want) and {(r.run, r.step): (r.tokens_per_second, r.stopped) for r in got} == want
+    assert 0 < spark.read.format("statestore").load(offsets).count() <= 17
