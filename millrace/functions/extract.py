@@ -82,13 +82,17 @@ def has_sql(c: Column | str) -> Column:
     return col(c).rlike(rf"(?i)\b({'|'.join(SQL_WORDS)})\b")
 
 
-def parses(code: str | None) -> bool:
-    """Whether Python code is free of syntax errors. Code that the parser can't take at all isn't."""
+def parsed(code: str | None) -> ast.Module | None:
+    """The tree of Python code that is free of syntax errors; None of other code, and of what the parser can't take at all."""
     try:
-        ast.parse(code or "")
-        return True
+        return ast.parse(code or "")
     except (SyntaxError, ValueError, MemoryError, RecursionError):
-        return False
+        return None
+
+
+def parses(code: str | None) -> bool:
+    """Whether Python code is free of syntax errors. Code that the parser can't take at all isn't."""
+    return parsed(code) is not None
 
 
 def _each(code: pd.Series) -> pd.Series:

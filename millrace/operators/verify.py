@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.extract import normal_output, parses, valid_python
+from millrace.functions.extract import normal_output, parsed, valid_python
 from millrace.operators.dedup import _cut as cut
-from millrace.operators.programs import Limits, Outcome, Server, sql_score, test_counts, worker_server
+from millrace.operators.programs import Limits, Outcome, Server, plain, sql_score, test_counts, worker_server
 from millrace.operators.scores import per_problem
 
 # Scores of a run.
@@ -33,10 +33,13 @@ def _outcomes(memory_mb: int):
     def one(server: Server, kind: str, program: str, given: str, seconds: float) -> tuple:
         if kind == SQL:
             return "", "", False, 0, 0.0, 0, 0, True, sql_score(program, given, seconds)
-        if not parses(program):
+        tree, limits = parsed(program), Limits(seconds, memory_mb)
+        if tree is None:
             r = Outcome("", "SyntaxError", False, 1, 0.0)
+        elif kind == RUN and plain(tree):
+            r = server.run_plain(program, given, limits)
         else:
-            r = server.run(program, given, Limits(seconds, memory_mb), kind == TESTS)
+            r = server.run(program, given, limits, kind == TESTS)
         if kind == TESTS:
             return "", "", r.timed_out, r.code, r.elapsed, *test_counts(r), 0.0
         score = SYNTAX_ERROR if r.stderr == "SyntaxError" else RUNS if r.code == 0 else TIMEOUT if r.timed_out or "timeout" in r.stderr else RUNTIME_ERROR

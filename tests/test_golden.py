@@ -208,6 +208,28 @@ def test_programs_do_not_see_each_other():
         server.close()
 
 
+def test_plain_programs_share_a_process_and_give_the_same():
+    """What a plain program gives in the shared process is what it gives in one of its own; the rest isn't run there."""
+    plain = lambda code: programs.plain(extract.parsed(code))
+    told = [("a, b = map(int, input().split())\nprint(a + b)  # x", "1 2"), ("import sys\nfor x in sys.stdin: print(repr(x))", "a\r\né"), ("raise ValueError('no')", ""), ("raise SystemExit(3)", ""), ("input()", ""), ("raise Exception", ""), ("kept = 1", ""), ("print(kept)", "")]
+    told += [("try:\n  int('x')\nexcept ValueError as e: print(e)", ""), ("print('a' * 10**6)", ""), ("while True: pass", "")]
+    alone = ["x = [0] * 10**10", "def f(n): f(n + 1)\nf(0)", "while True: print('a' * 10**6)"]
+    server = programs.Server()
+    try:
+        seen = lambda r: (r.stdout, r.stderr.splitlines()[-1:], r.timed_out, r.code)
+        for code, given in told:
+            assert plain(code) and seen(server.shared.run(code, given, programs.Limits(1))) == seen(server.run(code, given, programs.Limits(1))), code
+        pid = server.run_plain("print(1)", "", programs.Limits(1)) and server.shared.process.pid
+        assert all(server.run_plain(f"print({i})", "", programs.Limits(1)).stdout == f"{i}\n" for i in range(50)) and server.shared.process.pid == pid
+        for code in alone:
+            assert plain(code) and server.shared.run(code, "", programs.Limits(5)) is None and server.run_plain(code, "", programs.Limits(1)).code != 0
+    finally:
+        server.close()
+    own = "import os;open('f');().__class__;print(getattr(1, 'a'));class A: pass;import sys\nsys.stdin = 1;import sys\nsys.path;import math\nmath.pi = 3;ValueError = Exception;def f(KeyError): pass;import math as ValueError;from sys import modules;exec('1');def f(): yield 1;'{0.a}'.format(1);quit()"
+    own = [*own.split(";"), "try: pass\nexcept: pass", "try: pass\nexcept Exception: pass", "try: pass\nfinally: pass", "with a: pass", "__builtins__"]
+    assert not any(map(plain, own)) and not plain("print(")
+
+
 UNIT = "import unittest\nclass T(unittest.TestCase):\n def test_a(self): self.assertEqual(f(), 1)\n def test_b(self): self.assertEqual(f(), 2)"
 
 
