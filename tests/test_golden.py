@@ -494,3 +494,28 @@ def test_common_shingles_are_hashed_once(monkeypatch):
         assert got["bands"].tolist() == want
         if known == 1000:
             assert len(common) < known and sum(x.decode("utf-8", "surrogatepass") in common for x in digests) <= len(common)
+
+
+def test_verified_minhash_stores_no_sets(spark):
+    """Bands come with a digest of the set, of fixed size; pairs are compared from their texts, and the rows are those of brute force."""
+    import random
+
+    rng, rows = random.Random(5), []
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    for _ in range(25):
+        base = [rng.choice(words) for _ in range(80)]
+        rows.append(" ".join(base))
+        for changes in (0, 2, 6, 20):
+            rows.append(" ".join(rng.choice(words) if i < changes else w for i, w in enumerate(base)))
+    df = spark.createDataFrame([*enumerate(rows), (900, None), (901, ""), (902, "x")], "_rid long, problem string").repartition(5)
+    signed = dedup.signatures(df, "_rid", "problem", True)
+    assert signed.columns == ["id", "digest", "bands"] and max(len(r.digest) for r in signed.collect()) == 16
+    sets = {r.id: dedup._shingles(r.k) for r in dedup.keys(df, "_rid", "problem").collect()}
+    alike = lambda a, b: len(a & b) >= 0.85 * len(a | b) and bool(a)
+    bands = {(r.lo, r.hi) for r in dedup.band_edges(signed).collect()}
+    kept = []
+    for i in sorted(sets):
+        if not any((j, i) in bands and alike(sets[j], sets[i]) for j in kept):
+            kept.append(i)
+    got = sorted(r._rid for r in dedup.dedup_near(df, verify=True).collect())
+    assert got == kept and 50 < len(got) < len(rows)
