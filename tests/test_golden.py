@@ -519,3 +519,18 @@ def test_verified_minhash_stores_no_sets(spark):
             kept.append(i)
     got = sorted(r._rid for r in dedup.dedup_near(df, verify=True).collect())
     assert got == kept and 50 < len(got) < len(rows)
+
+
+def test_exact_join_reads_texts_few_times_and_stores_little(spark):
+    """Classes and levels come from one pass; the first shingles are stored as packed columns, some 9 bytes each."""
+    import os
+
+    import numpy as np
+
+    rows = spark.createDataFrame([(i, f"some words of number{i % 900} and others{i * 7 % 1000} follow here{i % 13}") for i in range(3000)] + [(5000, "")], "id long, k string").repartition(3)
+    classes, levels = dedup.classes_and_levels(rows)
+    assert np.array_equal(levels, dedup._levels(rows)) and levels.any()
+    assert sorted(map(tuple, classes.collect())) == sorted(map(tuple, dedup.set_classes(rows).collect())) and classes.count() == 3000
+    begun = dedup._begun(rows, spark.sparkContext.broadcast(levels), 0.85)
+    stored = sum(os.path.getsize(f.removeprefix("file://")) for f in begun.inputFiles())
+    assert begun.columns == ["id", "h", "n", "at"] and 0 < stored < 16 * begun.count()
